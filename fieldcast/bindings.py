@@ -7,8 +7,11 @@ Nothing here is needed in production, where these tables are stored as Parquet.
 
 from __future__ import annotations
 
+import io
+import zipfile
 from functools import partial
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldcast.tables import Tables
@@ -157,17 +160,17 @@ BINDINGS: dict[str, tuple[tuple[str, ...], str]] = {
         ("part", "region"),
         """
         SELECT b AS categoryid, r_name AS projectcode,
-               CASE WHEN CAST(substring(b, 7) AS INT) % 4 = 0 THEN concat('General-', b) ELSE concat('Topic ', b) END AS categoryname
+               CASE WHEN TRY_CAST(substring(b, 7) AS INT) % 4 = 0 THEN concat('General-', b) ELSE concat('Topic ', b) END AS categoryname
         FROM (SELECT p_brand AS b, {fan5} AS rk FROM (SELECT DISTINCT p_brand FROM part) x) p
         JOIN region ON r_regionkey = rk
-        WHERE CAST(substring(b, 7) AS INT) % 5 <> 0
+        WHERE TRY_CAST(substring(b, 7) AS INT) % 5 <> 0
         """,
     ),
     "contentinpackage": (
         ("lineitem", "ord", "part"),
         """
         SELECT project, upper(concat(dep, '-', lc)) AS contentpackage, concat('P', CAST(l_partkey AS STRING)) AS contentid,
-               CASE WHEN CAST(substring(p_brand, 7) AS INT) % 5 = 0 THEN concat('P', CAST(l_partkey AS STRING)) ELSE p_brand END AS categoryid,
+               CASE WHEN TRY_CAST(substring(p_brand, 7) AS INT) % 5 = 0 THEN concat('P', CAST(l_partkey AS STRING)) ELSE p_brand END AS categoryid,
                min(l_linenumber) AS position
         FROM lineitem JOIN ord ON okey = l_orderkey JOIN part ON p_partkey = l_partkey
         GROUP BY project, dep, lc, l_partkey, p_brand
@@ -256,6 +259,21 @@ BINDINGS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM events
         """,
     ),
+    "play_lines": (
+        ("playstatistics",),
+        """
+        SELECT tbcdid, deployment_uuid, contentid, played_seconds, completed,
+               concat(CAST(timestamp AS STRING), ',play,project:', project, ',deployment:', deployment,
+                      ',contentpackage:', contentpackage, ',community:', community, ',talkingbookid:', talkingbookid,
+                      ',contentid:', contentid, ',started:', CAST(started AS STRING), ',quarter:', CAST(quarter AS STRING),
+                      ',half:', CAST(half AS STRING), ',threequarters:', CAST(threequarters AS STRING),
+                      ',completed:', CAST(completed AS STRING), ',played_seconds:', CAST(played_seconds AS STRING),
+                      ',tbcdid:', tbcdid, ',deployment_timestamp:', CAST(deployment_timestamp AS STRING),
+                      CASE WHEN recipientid IS NULL THEN '' ELSE concat(',recipientid:', recipientid) END,
+                      ',deployment_uuid:', deployment_uuid) AS value
+        FROM playstatistics
+        """,
+    ),
     "kv_recipients_map": (
         ("events",),
         "SELECT DISTINCT concat('Proj', CAST(user_id % 4 AS STRING)) AS project, concat('Dir ', CAST(user_id % 6 AS STRING)) AS directory, "
@@ -310,6 +328,62 @@ BINDINGS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+def _le(value: str, size: int) -> str:
+    """SQL for a whole number as little-endian bytes in hex."""
+    digits = f"lpad(hex({value}), {size * 2}, '0')"
+    return "concat(" + ", ".join(f"substring({digits}, {i * 2 + 1}, 2)" for i in range(size - 1, -1, -1)) + ")"
+
+
+def _text_field(number: int, *values: str) -> str:
+    """SQL for one text field of an audio file's metadata, in hex."""
+    body = ", ".join(f"{_le(f'octet_length({v})', 2)}, hex(encode({v}, 'UTF-8'))" for v in values)
+    length = " + ".join(["1", *[f"2 + octet_length({v})" for v in values]])
+    return f"concat({_le(str(number), 2)}, {_le(length, 4)}, {_le(str(len(values)), 1)}, {body})"
+
+
+def a18_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An audio file with metadata for every document, put together byte by byte in SQL."""
+    fields = [
+        _text_field(1, "concat('title ', doc_id)"),
+        _text_field(12, "lang"),
+        _text_field(26, "lang", "source"),
+        f"concat({_le('99', 2)}, {_le('3', 4)}, '010203')",
+        f"concat({_le('33', 2)}, {_le('5', 4)}, '01', {_le('doc_id % 100', 4)})",
+        _text_field(5, "concat('TB', doc_id % 40)"),
+    ]
+    version = _le("CASE WHEN doc_id % 19 = 0 THEN 2 ELSE 1 END", 4)
+    content = (
+        f"concat({_le('n_chars * 2 + 2', 4)}, {_le('CASE WHEN doc_id % 2 = 0 THEN 16000 ELSE 64 END', 2)}, "
+        f"repeat('00', CAST(n_chars * 2 AS INT)), {version}, {_le(str(len(fields)), 4)}, {', '.join(fields)})"
+    )
+    return spark.sql(
+        f"SELECT doc_id, concat('/uf/PROG', doc_id % 2, '/C', doc_id % 30, '/m', doc_id, '.a18') AS path, "
+        f"unhex({content}) AS content FROM {{documents}}",
+        documents=spark.read.parquet(f"{sf_dir}/documents.parquet"),
+    )
+
+
+def _zip_one(batches):
+    for batch in batches:
+        out = []
+        for path, number in zip(batch["path"], batch["doc_id"]):
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w") as archive:
+                archive.writestr("x/tbsdeployed.csv", f"talkingbookid,action\nTB{number % 40},update\nTB{number},last\n")
+                archive.writestr("x/stats_collected.properties", f"user=u{number % 9}\n")
+                archive.writestr("x/other.txt", "not wanted\n")
+            out.append((path, buffer.getvalue()))
+        yield pd.DataFrame(out, columns=["path", "content"])
+
+
+def zip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loader zip for every document."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return documents.selectExpr("doc_id", "concat('/in/', doc_id, '/tbcd', doc_id % 50, '.zip') AS path").mapInPandas(
+        _zip_one, "path string, content binary"
+    )
+
+
 def _closure(names: list[str]) -> list[str]:
     """The bindings needed for ``names``, each after the ones it reads."""
     order: list[str] = []

@@ -115,7 +115,7 @@ class VersionedTable:
     one.  A writer that dies leaves only an unreferenced folder.
     """
 
-    POINTER = "_current"
+    POINTER = "CURRENT"
 
     def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None):
         self._spark = spark
