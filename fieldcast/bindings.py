@@ -431,3 +431,14 @@ def domain_tables(spark: SparkSession, sf_dir: str, **overrides: DataFrame) -> T
     if overrides:
         flags = {k: v for k, v in flags.items() if k not in overrides}
     return Tables({**frames, **overrides}, flags)
+
+
+def stored_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> Tables:
+    """Domain tables written to Parquet in the shared folder, as they are stored in production."""
+    from fieldcast.session import scratch_path
+
+    root = scratch_path(spark, "tables")
+    lazy = domain_tables(spark, sf_dir)
+    for name in names:
+        lazy[name].write.parquet(f"{root}/{name}")
+    return Tables({name: spark.read.parquet(f"{root}/{name}") for name in names})

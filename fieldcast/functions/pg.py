@@ -26,7 +26,7 @@ def round_ratio(num: Column, den: Column | int, digits: int) -> Column:
     num = num.cast("bigint")
     scale = 10**digits
     steps = int_div(F.abs(num) * F.lit(2 * scale) + den, den * F.lit(2))
-    return F.signum(num) * steps / F.lit(float(scale))
+    return F.when(num < 0, -steps).otherwise(steps) / F.lit(float(scale))
 
 
 def to_bigint(col: Column) -> Column:

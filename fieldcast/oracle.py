@@ -712,6 +712,9 @@ ORACLE: dict[str, str] = {
             CASE WHEN p >= 3600 THEN concat(p // 3600, ':', lpad(CAST(p % 3600 // 60 AS VARCHAR), 2, '0'), ':', lpad(CAST(p % 60 AS VARCHAR), 2, '0'))
                  WHEN p >= 60 THEN concat(p // 60, ':', lpad(CAST(p % 60 AS VARCHAR), 2, '0')) ELSE concat(p, ' seconds') END AS clock
             FROM (SELECT *, CAST(floor(l_extendedprice) AS BIGINT) AS p FROM lineitem)"""),
+    "fn_uuid5": """SELECT doc_id, concat(h[1:8], '-', h[9:12], '-5', h[14:16], '-',
+           substring('89ab', CAST(instr('0123456789abcdef', h[17:17]) - 1 AS INT) % 4 + 1, 1), h[18:20], '-', h[21:32]) AS uuid
+           FROM (SELECT doc_id, sha1(unhex('677aba79e6724fe391d5c69306fe025d') || encode(text)) AS h FROM documents)""",
     # streaming and user feedback
     "ingest_incremental": sql(f"SELECT {_PLAY_OUT} FROM ({_FIRST_PLAYS})", "playstatistics"),
     "late_data": sql(f"SELECT {_PLAY_OUT} FROM ({_FIRST_PLAYS})", "playstatistics"),
