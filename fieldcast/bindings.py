@@ -439,6 +439,7 @@ def stored_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> Tables:
 
     root = scratch_path(spark, "tables")
     lazy = domain_tables(spark, sf_dir)
+    files = spark.sparkContext.defaultParallelism
     for name in names:
-        lazy[name].write.parquet(f"{root}/{name}")
+        lazy[name].repartition(files).write.parquet(f"{root}/{name}")
     return Tables({name: spark.read.parquet(f"{root}/{name}") for name in names})

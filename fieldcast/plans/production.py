@@ -14,8 +14,8 @@ from fieldcast.tables import Tables, mart
 def production_info(t: Tables) -> DataFrame:
     """Every message of every package of every deployment.
 
-    Deployments, packages and languages are joined first; the content list, the one big
-    input, then meets the small result on (project, package).
+    The content list, the one big input, takes the dimensions one at a time.  Each is a
+    plain table whose size Spark knows, so small ones are broadcast and the list stays put.
     """
     schedule = t["deployments"].select("project", "deployment", "deploymentnumber")
     packages = t["packagesindeployment"].select(
@@ -35,17 +35,17 @@ def production_info(t: Tables) -> DataFrame:
     metadata = t["contentmetadata2"].select(
         "project", F.col("contentid").alias("m_content"), "format", "duration_sec", "title"
     )
-    shipped = ilike_join(
-        packages, schedule, ["project"], "p_deployment", "deployment", "right",
-        wildcards=t.wildcards("deployments", "deployment"),
+    listed = ilike_join(
+        content, packages, ["project"], "c_package", "package", "right",
+        wildcards=t.wildcards("packagesindeployment", "contentpackage"),
     )
-    shipped = ilike_join(
-        shipped, names, ["project"], "languagecode", "l_code", "left",
-        wildcards=t.wildcards("packagesindeployment", "languagecode"),
+    listed = ilike_join(
+        listed, schedule, ["project"], "p_deployment", "deployment", "right",
+        wildcards=t.wildcards("deployments", "deployment"),
     )
     listed = ilike_join(
-        content, shipped, ["project"], "c_package", "package", "right",
-        wildcards=t.wildcards("packagesindeployment", "contentpackage"),
+        listed, names, ["project"], "languagecode", "l_code", "left",
+        wildcards=t.wildcards("packagesindeployment", "languagecode"),
     )
     listed = ilike_join(
         listed, categories, ["project"], "categoryid", "k_category", "left",
