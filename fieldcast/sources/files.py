@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,10 +46,9 @@ def read_recipients_map(spark: SparkSession, path: str) -> DataFrame:
 def read_properties(spark: SparkSession, root: str) -> DataFrame:
     """Every ``.properties`` file below ``root`` -> path and map.  Each file is one small record."""
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.properties")
-        .text(root)
+        .text(root, wholetext=True)
     )
     return files.select(F.col("_metadata.file_path").alias("path"), properties_map(F.col("value")).alias("props"))
 
@@ -112,7 +111,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def extension() -> "F.Column":
+def extension() -> Column:
     return F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
 
 
@@ -172,9 +171,8 @@ def read_zip_artifacts(spark: SparkSession, root: str) -> DataFrame:
     zips = binary.option("pathGlobFilter", "tbcd*.zip").load(root)
     loose = (
         spark.read.option("recursiveFileLookup", True)
-        .option("wholetext", True)
         .option("pathGlobFilter", "{" + ",".join(ARTIFACTS) + "}")
-        .text(root)
+        .text(root, wholetext=True)
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), "\r?\n")).alias("line_no", "line"),
