@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldcast.functions.pg import concat_skip_null, text_list
 from fieldcast.operators.names import ilike_join
+from fieldcast.operators.summary import distinct_summary
 from fieldcast.tables import Tables, mart
 
 
@@ -79,21 +80,20 @@ def _deployment_input(t: Tables) -> DataFrame:
 
 @mart
 def deployments_by_deployment(t: Tables) -> DataFrame:
-    return (
-        _deployment_input(t)
-        .groupBy("project", "deploymentnumber", "startdate", "enddate")
-        .agg(
-            text_list(F.col("deployment")).alias("deployment"),
-            F.count_distinct("package").alias("num_packages"),
-            F.count_distinct("languagecode").alias("num_languages"),
-            F.count_distinct("communityname").alias("num_communities"),
-            F.count_distinct("recipientid").alias("num_recipients"),
-            F.count_distinct("talkingbookid").alias("deployed_tbs"),
-        )
-        .select(
-            "project", "deployment", "deploymentnumber", "startdate", "enddate", "num_packages", "num_languages",
-            "num_communities", "num_recipients", "deployed_tbs",
-        )
+    return distinct_summary(
+        _deployment_input(t),
+        ["project", "deploymentnumber", "startdate", "enddate"],
+        counts={
+            "num_packages": "package",
+            "num_languages": "languagecode",
+            "num_communities": "communityname",
+            "num_recipients": "recipientid",
+            "deployed_tbs": "talkingbookid",
+        },
+        lists={"deployment": "deployment"},
+    ).select(
+        "project", "deployment", "deploymentnumber", "startdate", "enddate", "num_packages", "num_languages",
+        "num_communities", "num_recipients", "deployed_tbs",
     )
 
 

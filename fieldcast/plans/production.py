@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldcast.functions.pg import round_ratio, text_list
+from fieldcast.functions.pg import round_ratio
 from fieldcast.operators.names import ilike_join
+from fieldcast.operators.summary import distinct_summary
 from fieldcast.tables import Tables, mart
 
 
@@ -73,10 +74,12 @@ def production_by_deployment(t: Tables, fix_fanout: bool = False) -> DataFrame:
     messages = info.select(
         "project", "deployment", "deploymentnumber", "startdate", "contentid", "duration_sec"
     ).distinct()
-    message_sums = messages.groupBy("project", "deploymentnumber", "startdate").agg(
-        text_list(F.col("deployment")).alias("deployment"),
-        F.count_distinct("contentid").alias("num_messages"),
-        F.sum("duration_sec").alias("seconds"),
+    message_sums = distinct_summary(
+        messages,
+        ["project", "deploymentnumber", "startdate"],
+        counts={"num_messages": "contentid"},
+        lists={"deployment": "deployment"},
+        sums={"seconds": "duration_sec"},
     )
     per_number = (
         info.where(F.col("deploymentnumber").isNotNull())
