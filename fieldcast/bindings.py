@@ -14,8 +14,11 @@ from functools import partial
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldcast.session import scratch_path, send_with_tasks
 from fieldcast.tables import Tables
 
+send_with_tasks(__name__)
+
 BASE = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -435,8 +438,6 @@ def domain_tables(spark: SparkSession, sf_dir: str, **overrides: DataFrame) -> T
 
 def stored_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> Tables:
     """Domain tables written to Parquet in the shared folder, as they are stored in production."""
-    from fieldcast.session import scratch_path
-
     root = scratch_path(spark, "tables")
     lazy = domain_tables(spark, sf_dir)
     files = spark.sparkContext.defaultParallelism

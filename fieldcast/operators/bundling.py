@@ -17,7 +17,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldcast.session import scratch_path
+from fieldcast.session import scratch_path, send_with_tasks
+
+send_with_tasks(__name__)
 
 ROWS_PER_BLOCK = 100_000
 FAN_IN = 1_000

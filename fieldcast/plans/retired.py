@@ -146,13 +146,19 @@ def package_stats(t: Tables, project: str | None = None) -> DataFrame:
     A share with no device in it is NULL, not 0.
     """
     by = ["project", "contentpackage"]
-    listed_anywhere = only(_listed_plays(t, "contentpackage", "contentid"), project=project)
-    content = listed_anywhere.groupBy(*by).agg(
+    listed = t["contentinpackage"].groupBy("contentpackage", "contentid").agg(F.collect_set("project").alias("projects"))
+    plays = (
+        only(t["allsources_s"], project=project)
+        .join(listed, ["contentpackage", "contentid"])
+        .withColumn("own", F.array_contains("projects", F.col("project")))
+    )
+    content = plays.groupBy(*by).agg(
         F.count_distinct("contentid").alias("msgs"),
+        F.count_distinct(F.when(F.col("own"), F.col("contentid"))).alias("messages"),
+        F.count_distinct("talkingbook").alias("tbs"),
         F.sum("played_seconds_max").alias("timeplayed"),
         F.sum("effectivecompletions_max").alias("effective"),
         F.sum("completed_max").alias("completed"),
-        F.count_distinct("talkingbook").alias("tbs"),
     )
     minutes = (
         t["contentinpackage"].select("contentpackage", "contentid")
@@ -160,29 +166,35 @@ def package_stats(t: Tables, project: str | None = None) -> DataFrame:
         .groupBy("contentpackage")
         .agg(int_div(F.sum("duration_sec"), 60).alias("duration_min"))
     )
-    plays = only(_listed_plays(t, "project", "contentpackage", "contentid"), project=project)
-    played = F.col("played")
-    messages = F.col("messages")
-    buckets = (
-        plays.groupBy(*by, "talkingbook")
+    # how many devices played how many messages: a few rows per package
+    devices = (
+        plays.where("own")
+        .groupBy(*by, "talkingbook")
         .agg(F.count_distinct("contentid").alias("played"))
-        .join(_messages_per_package(plays), by)
-        .groupBy(*by)
+        .groupBy(*by, "played")
+        .agg(F.count("*").alias("devices"))
+    )
+    played, messages = F.col("played"), F.col("messages")
+
+    def devices_with(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("devices")))
+
+    content = (
+        content.join(devices, by, "left")
+        .groupBy(*content.columns)
         .agg(
-            F.count_if(played == messages).alias("all_of"),
-            F.count_if((played * 2 >= messages) & (played != messages)).alias("half_of"),
-            F.count_if(played * 2 < messages).alias("less_of"),
+            devices_with(played == messages).alias("all_of"),
+            devices_with((played * 2 >= messages) & (played != messages)).alias("half_of"),
+            devices_with(played * 2 < messages).alias("less_of"),
         )
     )
     packages = t["packagesindeployment"].select(*by, "deployment", "packagename", "startdate")
 
     def share(name: str) -> Column:
-        devices = F.col(name)
-        return F.when(devices > 0, round_ratio(devices, F.col("tbs"), 2))
+        return round_ratio(F.col(name), F.col("tbs"), 2)
 
     return (
         content.join(minutes, "contentpackage", "left")
-        .join(buckets, by, "left")
         .join(packages, by)
         .select(
             "project", "deployment", "contentpackage", "packagename", "startdate",

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 _LOCAL_ROOT: dict[str, str] = {}
@@ -57,3 +59,8 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below :func:`shared_root`; never reused, so a rerun cannot see old files."""
     return os.path.join(shared_root(spark), "fieldcast", f"{label}-{uuid.uuid4().hex}")
+
+
+def send_with_tasks(module: str) -> None:
+    """Send a module's functions along with the tasks that call them, so executors need not have the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

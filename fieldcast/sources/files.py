@@ -13,6 +13,9 @@ from pyspark.sql.types import StructType
 
 from fieldcast.functions.text import directory_timestamp, properties_map
 from fieldcast.operators.lookup import recipients_by_directory
+from fieldcast.session import send_with_tasks
+
+send_with_tasks(__name__)
 
 # Artifacts of the device loader inside a collection's zip.
 ARTIFACTS = ("tbsdeployed.csv", "tbscollected.csv", "stats_collected.properties")
