@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcast.llm import simhash
+from fieldcast.llm import fertility, lines, mixing, packing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +22,45 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that are on more than a twentieth of their source's documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.drop_boilerplate(docs, "source", "text", LINE_RATIO, LINE_PAGES)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, replicated towards source shares that go with the square root of the sources' sizes."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.pack(docs, capacity=2048, end_id=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and fertility bands over every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = fertility.judge(docs, keep_text=False)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_tokens", *fertility.MEASURES, "script",
+    )
+
+
+LINE_RATIO, LINE_PAGES = 0.05, 5
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_mixing": op4_mixing,
+    "op5_packing": op5_packing,
+    "op8_tokeniser_fertility": op8_tokeniser_fertility,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": lines.drop_boilerplate_sql("documents", LINE_RATIO, LINE_PAGES),
+    "op4_mixing": mixing.mix_sql("documents"),
+}
