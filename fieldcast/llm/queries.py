@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcast.llm import fertility, lines, mixing, packing, simhash
+from fieldcast.llm import fertility, lines, mixing, packing, ranking, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the clause grammar."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"), threshold=0.5)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, at most 4 bits apart."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,14 +57,23 @@ def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by pairwise ranking."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = ranking.score(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality"), threshold=0.3)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 LINE_RATIO, LINE_PAGES = 0.05, 5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
     "op8_tokeniser_fertility": op8_tokeniser_fertility,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
