@@ -156,8 +156,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents, packed into sequences of at most ``capacity`` tokens.
 
-    One row for each piece: doc_id, start, length, doc_tokens, sequence_id, offset, and ``ids``, its token
-    ids as little-endian unsigned 32-bit integers.  Every id of every document (its tokens and ``end_id``) lies in
+    One row for each piece: doc_id, doc_row (a number of the input row), start, length, doc_tokens, sequence_id,
+    offset, and ``ids``, its token ids as little-endian unsigned 32-bit integers.  Every id of every document (its tokens and ``end_id``) lies in
     one piece, and a sequence's pieces lie gapless from offset 0.  A document's cost is ``linear`` times its
     length plus ``quadratic`` times its square, as attention within a document has it.
 
@@ -187,9 +187,11 @@ def pack(
         F.col("lm row").alias("row"), F.col("lm n").alias("n"), F.pmod(F.xxhash64("lm row"), F.lit(shards)).alias("shard")
     )
     spans = dealt.groupBy("shard").applyInPandas(plan, PLAN)
-    both = ids.join(spans, ids["lm row"] == spans["row"]).select(doc_id, "lm n", "lm ids", "spans")
+    both = ids.join(spans, ids["lm row"] == spans["row"]).select(
+        doc_id, F.col("lm row").alias("doc_row"), "lm n", "lm ids", "spans"
+    )
     schema = T.StructType(
-        [both.schema[doc_id]]
+        [both.schema[doc_id], both.schema["doc_row"]]
         + [T.StructField(c, T.LongType(), False) for c in ("start", "length", "doc_tokens", "sequence_id", "offset")]
         + [T.StructField("ids", T.BinaryType(), False)]
     )
@@ -200,7 +202,7 @@ def pack(
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 of, out = [], ([], [], [], [], [], [])
-                for k, (n, data, parts) in enumerate(zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True)):
+                for k, (n, data, parts) in enumerate(zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)):
                     ids_of = np.frombuffer(data, f"<u{len(data) // n}").astype("<u4")
                     for p in parts:
                         of.append(k)
@@ -210,6 +212,7 @@ def pack(
                             column.append(value)
                 kinds = [pa.int64()] * 5 + [pa.binary()]
                 made = [pa.array(column, kind) for column, kind in zip(out, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of, pa.int64())), *made], names=names)
+                rows = pa.array(of, pa.int64())
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(rows) for i in (0, 1)), *made], names=names)
 
     return both.mapInArrow(cut, schema)

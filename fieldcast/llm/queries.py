@@ -44,7 +44,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = packing.pack(docs, capacity=2048, end_id=1)
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids", "doc_row")
 
 
 def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
