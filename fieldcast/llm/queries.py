@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcast.llm import fertility, lines, mixing, packing, ranking, simhash, toxicity
+from fieldcast.llm import fertility, lines, mixing, neighbours, packing, ranking, simhash, toxicity, units
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids", "doc_row")
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector with all others."""
+    table = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(table, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and fertility bands over every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -57,6 +63,14 @@ def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of five words or more that stand earlier, and where these were."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = units.drop_repeats(docs, min_words=UNIT_WORDS)
+    spans = F.transform("removed", lambda s: F.concat_ws("+", s["start"].cast("string"), s["length"].cast("string")))
+    return found.withColumn("removed", F.array_join(spans, ","))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by pairwise ranking."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,6 +79,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINE_RATIO, LINE_PAGES = 0.05, 5
+UNIT_WORDS = 5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
@@ -72,11 +87,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
+    "op6_ann": op6_ann,
     "op8_tokeniser_fertility": op8_tokeniser_fertility,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": lines.drop_boilerplate_sql("documents", LINE_RATIO, LINE_PAGES),
     "op4_mixing": mixing.mix_sql("documents"),
+    "op9_substring_dedup": units.drop_repeats_sql("documents", UNIT_WORDS),
 }
