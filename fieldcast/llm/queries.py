@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcast.llm import fertility, lines, mixing, neighbours, packing, ranking, simhash, toxicity, units
+from fieldcast.llm import fertility, lines, mixing, neighbours, packing, ranking, simhash, suffixes, toxicity, units
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,13 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table, F.col("vec_id") % 20 == 0, k=20)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of strings of 400 bytes that start more than once."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffixes.drop_repeated(docs, length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and fertility bands over every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -88,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
     "op6_ann": op6_ann,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_tokeniser_fertility": op8_tokeniser_fertility,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality": op10_quality,
