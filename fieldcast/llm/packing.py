@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,65 +23,58 @@ REMEMBERED = 400_000
 PLAN = "row long, spans array<struct<start:long,length:long,sequence_id:long,offset:long>>"
 
 
-class _Chunks(dict):
-    """Place of each blank-separated chunk's ids in a pool; -1 for one that can't be looked at alone."""
-
-    def __init__(self, encode: Callable[[str], list[int]]) -> None:
-        super().__init__()
-        self.encode, self.pool, self.ends = encode, [], []
-
-    def __missing__(self, chunk: str) -> int:
-        at = -1
-        if chunk and chunk == chunk.strip():
-            at = len(self.ends)
-            self.pool.extend(self.encode(" " + chunk))
-            self.ends.append(len(self.pool))
-        self[chunk] = at
-        return at
-
-
-def byte_bpe(vocabulary: str | None, pattern: str | None) -> Callable[[str], np.ndarray]:
-    """A function from a text to its byte-level BPE ids.
+class ByteBpe:
+    """Byte-level BPE ids of whole texts.
 
     ``vocabulary`` is a file of ranks (default: that of the public 50k vocabulary, which has the ids of
-    ``byte_bpe_50k.json``).  The pattern never joins a blank with what stands before it, so a text's
-    ids are those of its chunks between single blanks, each with its blank; equal chunks are encoded once.  A
-    text with a chunk that is empty or has other white space at an end is encoded as a whole.
+    ``byte_bpe_50k.json``).  The pattern never joins a blank with what stands before it, so a text's ids are
+    those of its chunks between single blanks, each with its blank; a chunk is encoded when it is first met.  A text
+    with a chunk that is empty or has other white space at an end is encoded as a whole.
     """
-    import public_tokenizers
-    import tiktoken
 
-    with open(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines)}
-    encoding = tiktoken.Encoding(
-        "own", pat_str=pattern or public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-    )
-    whole = encoding.encode_ordinary
-    seen = _Chunks(whole)
-    flat = {"pool": np.zeros(0, np.uint32), "ends": np.zeros(1, np.int64)}
-
-    def encode(text: str) -> np.ndarray:
-        nonlocal seen
-        if len(seen.ends) > REMEMBERED:
-            seen = _Chunks(whole)
-            flat.update(pool=np.zeros(0, np.uint32), ends=np.zeros(1, np.int64))
-        first, *rest = text.split(" ")
-        if not rest or not first or first != first.rstrip():
-            return np.array(whole(text), np.uint32)
-        places = np.fromiter(map(seen.__getitem__, rest), np.int64, len(rest))
-        if places.min() < 0:
-            return np.array(whole(text), np.uint32)
-        known = len(flat["ends"]) - 1
-        if len(seen.ends) > known:
-            flat["ends"] = np.concatenate([flat["ends"], np.array(seen.ends[known:], np.int64)])
-            flat["pool"] = np.concatenate([flat["pool"], np.array(seen.pool[len(flat["pool"]) :], np.uint32)])
-        starts = flat["ends"][places]
-        sizes = flat["ends"][places + 1] - starts
+    def __init__(self, vocabulary: str | None = None, pattern: str | None = None) -> None:
+        import public_tokenizers
+        import tiktoken
+
+        with open(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines)}
+        pattern = pattern or public_tokenizers.PATTERN
+        self.whole = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.opens = np.zeros(max(ranks.values()) + 1, bool)  # ids that begin with a blank, and so a chunk
+        self.opens[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.pool, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def learn(self, chunks: set[str]) -> None:
+        if len(self.place) > REMEMBERED:
+            self.forget()
+        new = [c for c in chunks if c not in self.place]
+        fine = [c for c in new if c and c == c.strip()]
+        self.place.update(dict.fromkeys(new, -1))
+        if fine:
+            self.place.update(zip(fine, range(len(self.ends) - 1, len(self.ends) - 1 + len(fine)), strict=True))
+            ids = np.array(self.whole(" " + " ".join(fine)), np.uint32)
+            ends = np.append(np.nonzero(self.opens[ids])[0][1:], len(ids))
+            self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
+            self.pool = np.concatenate([self.pool, ids])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        split = [text.split(" ") for text in texts]
+        self.learn({chunk for chunks in split for chunk in chunks[1:]})
+        return [self._joined(text, chunks) for text, chunks in zip(texts, split, strict=True)]
+
+    def _joined(self, text: str, chunks: list[str]) -> np.ndarray:
+        first, places = chunks[0], np.fromiter(map(self.place.__getitem__, chunks[1:]), np.int64, len(chunks) - 1)
+        if len(places) == 0 or places.min() < 0 or not first or first != first.rstrip():
+            return np.array(self.whole(text), np.uint32)
+        starts = self.ends[places]
+        sizes = self.ends[places + 1] - starts
         begins = np.cumsum(sizes) - sizes
         where = np.arange(int(sizes.sum())) + np.repeat(starts - begins, sizes)
-        return np.concatenate([np.array(whole(first), np.uint32), flat["pool"][where]])
-
-    return encode
+        return np.concatenate([np.array(self.whole(first), np.uint32), self.pool[where]])
 
 
 def tokenised(docs: DataFrame, text: str, end_id: int, vocabulary: str | None, pattern: str | None) -> DataFrame:
@@ -91,10 +84,10 @@ def tokenised(docs: DataFrame, text: str, end_id: int, vocabulary: str | None, p
     """
 
     def make():
-        encode = byte_bpe(vocabulary, pattern)
+        bpe = ByteBpe(vocabulary, pattern)
 
         def job(texts):
-            ids = [np.append(encode(t or ""), np.uint32(end_id)) for t in texts]
+            ids = [np.append(x, np.uint32(end_id)) for x in bpe.encode([t or "" for t in texts])]
             return [[len(x) for x in ids], [x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in ids]]
 
         return job
