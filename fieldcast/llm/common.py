@@ -29,7 +29,7 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     and Spark knows the size of what it joins.
     """
     path = scratch_path(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
