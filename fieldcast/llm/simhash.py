@@ -140,11 +140,11 @@ def one_of_each(
 
     Which of several rows with the same id stays is open.  Nothing else changes; empty input gives no rows.
     """
-    numbered = docs.withColumn("lm row", F.monotonically_increasing_id())
-    table = stored(fingerprints(numbered, text, words), "simhash-documents")
-    best = _best(table, doc_id, max_bits, F.col("lm row"))
-    stay = stored(best.select("best.row").distinct(), "simhash-stay").withColumnRenamed("row", "lm row")
-    return table.join(stay, "lm row", "left_semi").select(*docs.columns)
+    numbered = docs.select(*(F.col(c).alias(f"lm {c}") for c in docs.columns), F.monotonically_increasing_id().alias("row"))
+    table = stored(fingerprints(numbered, f"lm {text}", words), "simhash-documents")
+    best = _best(table, f"lm {doc_id}", max_bits, F.col("row"))
+    stay = stored(best.select("best.row").distinct(), "simhash-stay")
+    return table.join(stay, "row", "left_semi").select(*(F.col(f"lm {c}").alias(c) for c in docs.columns))
 
 
 def _best(table: DataFrame, doc_id: str, max_bits: int, row: Column | None = None) -> DataFrame:
