@@ -47,7 +47,7 @@ def each_text(frame: DataFrame, text: Column, make: Callable[[], TextJob], field
     """
     taken = {f.name.lower() for f in fields}
     kept = [c for c in frame.columns if c.lower() not in taken]
-    source = frame.select(*kept, text.alias("lm text"))
+    source = frame.select(*kept, text.alias("lm given text"))
     schema = T.StructType([source.schema[c] for c in kept] + fields)
     names = schema.names
     types = [_arrow_type(f.dataType) for f in fields]
