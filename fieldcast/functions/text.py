@@ -10,7 +10,8 @@ UNKNOWN = "Unknown"
 UNKNOWN_USER = "UNKNOWN"
 UNASSIGNED_SERIAL = "-- TO BE ASSIGNED --"
 NON_SPECIFIC = "NON-SPECIFIC"
-COORDINATES = r"^\s*\(?\s*([+-]?[\d.]+)[\s,]*([+-]?[\d.]+)\s*\)?\s*$"
+#: A decimal number, as each half of a coordinate pair must be
+DECIMAL = r"^[-+]?(?:\d+(?:\.\d*)?|\.\d+)$"
 BLANKS = " \t\r\n\x0b\x0c"
 
 
@@ -78,10 +79,14 @@ def default_text(col: Column, default: str, *also: str) -> Column:
 
 
 def coordinates(col: Column) -> Column:
-    """``(a, b)``, ``a,b`` or ``a b`` -> struct of latitude and longitude; NULL if it is anything else."""
-    part = lambda n: F.regexp_extract(col, COORDINATES, n).try_cast("double")
+    """``(a, b)``, ``a,b`` or ``a b`` -> struct of latitude and longitude; NULL unless it is two decimal numbers."""
+    text = strip(col)
+    bare = strip(F.when(text.startswith("(") & text.endswith(")"), F.substr(text, F.lit(2), F.length(text) - 2)).otherwise(text))
+    halves = F.split(bare, r"\s*,\s*|\s+")
+    latitude, longitude = F.get(halves, F.lit(0)), F.get(halves, F.lit(1))
     return F.when(
-        col.rlike(COORDINATES), F.struct(part(1).alias("latitude"), part(2).alias("longitude"))
+        (F.size(halves) == 2) & latitude.rlike(DECIMAL) & longitude.rlike(DECIMAL),
+        F.struct(latitude.try_cast("double").alias("latitude"), longitude.try_cast("double").alias("longitude")),
     )
 
 

@@ -125,13 +125,14 @@ def next_fit(
 ) -> DataFrame:
     """``group``, ``order`` and ``bundle_index`` (from 0 within the group) of every message.
 
-    ``order`` must be unique within a group and ``size`` not negative.  Bundles stay within
-    ``limit`` unless a single message is larger.
+    ``order`` must be unique within a group and ``size`` not negative; a NULL size counts as 0.  Bundles stay
+    within ``limit`` unless a single message is larger.
     """
     spark = messages.sparkSession
-    narrow = messages.select(*group, order, F.col(size).cast("bigint").alias("size")).withColumn(
-        "gid", F.to_json(F.struct(*group))
-    )
+    path = scratch_path(spark, "bundle-blocks")
+    sized = F.coalesce(F.col(size).cast("bigint"), F.lit(0)).alias("size")
+    messages.select(*group, order, sized).withColumn("gid", F.to_json(F.struct(*group))).write.parquet(f"{path}/messages")
+    narrow = spark.read.parquet(f"{path}/messages")
     schema = {f.name: f.dataType.simpleString() for f in narrow.schema}
     assigned_schema = ", ".join(f"`{c}` {schema[c]}" for c in [*group, order]) + ", bundle_index bigint"
     block_count = max(1, -(-narrow.count() // rows_per_block))
@@ -152,11 +153,7 @@ def next_fit(
             at = int(following[at])
         return rows[[*group, order]].assign(bundle_index=offset + np.cumsum(opened))
 
-    if block_count == 1:
-        return narrow.groupBy("gid").applyInPandas(lambda rows: assign(rows, EMPTY, 0), assigned_schema)
-
     # Blocks: ranges of (group, order).  They are written once, so that all passes see the same cut.
-    path = scratch_path(spark, "bundle-blocks")
     (
         narrow.repartitionByRange(block_count, "gid", order)
         .withColumn("block", F.spark_partition_id().cast("bigint"))

@@ -29,6 +29,7 @@ RECIPIENT_OVERRIDES = {
     },
 }
 
+# Stored columns of a recipient and the names they have in a message's properties.
 RECIPIENT_INFO = {
     "recipientid": "recipientid",
     "project": "program",
@@ -65,7 +66,7 @@ def recipients_by_directory(rows: DataFrame, order: list[str] | None = None) ->
 def lookup_recipient(
     rows: DataFrame, recipients: DataFrame, project: Column, directory: Column, strip_quotes: bool = False
 ) -> DataFrame:
-    """Add ``found_recipient``, ``lookup_project``, ``lookup_directory`` and ``override``.
+    """Add ``found_recipient``, ``lookup_project``, ``asked_directory``, ``lookup_directory`` and ``override``.
 
     ``recipients`` is the result of :func:`recipients_by_directory`.  The overrides are a
     literal of a dozen entries; the map is joined, and Spark broadcasts it only while it is small.
@@ -78,15 +79,15 @@ def lookup_recipient(
     )
     return (
         rows.withColumn("lookup_project", project)
-        .withColumn("__asked", directory)
-        .withColumn("override", _override(F.col("lookup_project"), F.col("__asked")))
-        .withColumn("lookup_directory", F.coalesce("override", "__asked"))
+        .withColumn("asked_directory", directory)
+        .withColumn("override", _override(F.col("lookup_project"), F.col("asked_directory")))
+        .withColumn("lookup_directory", F.coalesce("override", "asked_directory"))
         .join(
             known,
             (F.col("lookup_project") == F.col("__project")) & (F.col("lookup_directory") == F.col("__directory")),
             "left",
         )
-        .drop("__project", "__directory", "__asked")
+        .drop("__project", "__directory")
     )
 
 
@@ -104,12 +105,14 @@ def fill_recipient(parsed: DataFrame, recipients: DataFrame) -> DataFrame:
     return looked_up.withColumn(
         "data",
         F.when(fill, merged(data, F.create_map(F.lit("recipientid"), F.col("found_recipient")))).otherwise(data),
-    ).drop("found_recipient", "lookup_project", "lookup_directory", "override")
+    ).drop("found_recipient", "lookup_project", "asked_directory", "lookup_directory", "override")
 
 
 def lookup_warnings(looked_up: DataFrame, recipients: DataFrame) -> DataFrame:
     """One row per override used, unknown project and unknown directory, with the number of lines.
 
+    An override is told by the directory that was asked for, an unknown directory by the name looked up.
+
     ``looked_up`` holds the lines a lookup was made for, as :func:`lookup_recipient` returns them.
     """
     reasons = F.array_compact(
@@ -123,18 +126,20 @@ def lookup_warnings(looked_up: DataFrame, recipients: DataFrame) -> DataFrame:
     )
     counted = (
         looked_up.where(F.col("lookup_project").isNotNull() & F.col("lookup_directory").isNotNull())
-        .groupBy("lookup_project", "lookup_directory", "override", "found_recipient")
+        .groupBy("lookup_project", "asked_directory", "lookup_directory", "override", "found_recipient")
         .agg(F.count("*").alias("lines"))
     )
     projects = recipients.select(F.col("project").alias("lookup_project")).distinct().withColumn("__known", F.lit(True))
     return (
         counted.join(projects, "lookup_project", "left")
         .withColumn("__known", F.coalesce("__known", F.lit(False)))
-        .select("lookup_project", "lookup_directory", "lines", F.explode(reasons).alias("reason"))
+        .select("lookup_project", "asked_directory", "lookup_directory", "lines", F.explode(reasons).alias("reason"))
         .groupBy(
             F.col("lookup_project").alias("project"),
             # an unknown project is reported once, whatever the directory
-            F.when(F.col("reason") != "unknown project", F.col("lookup_directory")).alias("directory"),
+            F.when(F.col("reason") == "override used", F.col("asked_directory"))
+            .when(F.col("reason") == "unknown directory", F.col("lookup_directory"))
+            .alias("directory"),
             "reason",
         )
         .agg(F.sum("lines").alias("lines"))

@@ -564,7 +564,7 @@ ORACLE: dict[str, str] = {
     "kv_project_columns": sql(
         """SELECT timestamp, user, type, coalesce(ratio, '') AS ratio, coalesce(optional, '') AS optional, project, community,
            coalesce(recipientid, '') AS recipientid FROM x_kv""", "x_kv"),
-    "concat_batches": sql("SELECT file, operation, count(*) AS rows FROM x_kv GROUP BY ALL", "x_kv"),
+    "concat_batches": sql("SELECT * EXCLUDE line_no FROM x_kv", "x_kv"),
     "src_deployments_log": sql(
         """SELECT concat('B-', lpad(CAST(okey % 400 AS VARCHAR), 8, '0')) AS talkingbookid, mr AS recipientid,
            odate + to_hours(CAST(okey % 24 AS BIGINT)) + INTERVAL 5 SECOND + INTERVAL 486 MILLISECOND AS deployedtimestamp, project, dep AS deployment,
@@ -667,7 +667,7 @@ ORACLE: dict[str, str] = {
         """SELECT k.project, k.contentpackage, k.contentid, p.contentpackage AS package, p.deployment FROM contentinpackage k
            JOIN packagesindeployment p ON p.project = k.project AND lower(p.contentpackage) = lower(k.contentpackage)""", "contentinpackage", "packagesindeployment"),
     "join_semi_correlated": sql(
-        """SELECT * FROM syncaggregation s WHERE contentid IN (SELECT contentid FROM contentinpackage k WHERE k.contentpackage = s.contentpackage)""",
+        """SELECT * FROM syncaggregation s WHERE contentid IN (SELECT contentid FROM contentinpackage k WHERE k.contentpackage = s.contentpackage AND k.position <= 2)""",
         "syncaggregation", "contentinpackage"),
     "join_self_pivot": sql(
         """SELECT k.*, a.countcompleted AS logs, b.countcompleted AS stats, f.countcompleted AS flash
@@ -684,10 +684,11 @@ ORACLE: dict[str, str] = {
            FROM x_kv WHERE recipientid IS NULL AND NOT EXISTS (SELECT 1 FROM kv_recipients_map m WHERE upper(m.project) = upper(x_kv.project) AND upper(m.directory) = upper(x_kv.community))
            GROUP BY ALL""", "x_kv", "kv_recipients_map"),
     "lookup_recipient_info": sql(
-        """SELECT b.talkingbookid, b.deployedtimestamp, left(b.recipientid, 4) AS recipientid,
+        """SELECT b.talkingbookid, b.deployedtimestamp, b.asked AS recipientid,
            CASE WHEN r.recipientid IS NULL THEN 0 ELSE 10 + CASE WHEN r.affiliate IS NULL THEN 0 ELSE 1 END + CASE WHEN r.agent IS NULL THEN 0 ELSE 1 END END AS attributes,
            r.project AS program, r.partner AS customer, r.affiliate, r.communityname AS community, r.listening_model
-           FROM tbsdeployed b LEFT JOIN recipients r ON r.recipientid = left(b.recipientid, 4)""", "tbsdeployed", "recipients"),
+           FROM (SELECT *, CASE WHEN talkingbookid LIKE '%7' THEN concat(recipientid, 'x') ELSE recipientid END AS asked FROM tbsdeployed) b
+           LEFT JOIN recipients r ON r.recipientid = b.asked""", "tbsdeployed", "recipients"),
     "lookup_deployment_number": sql(
         """SELECT b.talkingbookid, b.deployedtimestamp, b.project, b.deployment,
            (SELECT min(deploymentnumber) FROM deployments d WHERE d.project = b.project AND d.deployment = b.deployment) AS found_number
@@ -763,13 +764,14 @@ ORACLE: dict[str, str] = {
            FROM uf_messages WHERE bundle_uuid IS NOT NULL GROUP BY ALL)""", "uf_messages"),
     "uf_publish_manifest": sql(
         """SELECT programid, deploymentnumber, language, message_uuid, concat('collected/', programid, '/', deploymentnumber, '/', message_uuid, '.mp3') AS in_key,
-           concat('root/deployment-', deploymentnumber, '/', language, '/', bundle_uuid, '.zip') AS out_key FROM uf_messages WHERE bundle_uuid IS NOT NULL""", "uf_messages"),
+           concat('root/deployment-', deploymentnumber, '/', arg_min(language, message_uuid) OVER (PARTITION BY programid, deploymentnumber, bundle_uuid), '/', bundle_uuid, '.zip') AS out_key FROM uf_messages WHERE bundle_uuid IS NOT NULL""", "uf_messages"),
     "uf_publish_manifest_flat": sql(
         """SELECT programid, deploymentnumber, language, message_uuid, concat('collected/', programid, '/', deploymentnumber, '/', message_uuid, '.mp3') AS in_key,
-           concat('root/deployment-', deploymentnumber, '/', language, '/', message_uuid, '.mp3') AS out_key FROM uf_messages WHERE bundle_uuid IS NOT NULL""", "uf_messages"),
+           concat('root/deployment-', deploymentnumber, '/', arg_min(language, message_uuid) OVER (PARTITION BY programid, deploymentnumber, bundle_uuid), '/', message_uuid, '.mp3') AS out_key FROM uf_messages WHERE bundle_uuid IS NOT NULL""", "uf_messages"),
 }
 ORACLE["order_by"] = ORACLE["production_by_category"]
 ORACLE["sink_project_reports"] = ORACLE["production_by_package"].replace("SELECT m.project, m.deployment,", "SELECT m.project AS project_dir, m.project, m.deployment,", 1)
+ORACLE["sink_project_reports"] = f"SELECT * FROM ({ORACLE['sink_project_reports']}) WHERE project IN (SELECT r_name FROM region WHERE r_regionkey >= 1)"
 ORACLE["report_diff"] = sql(
     """, old_rows AS (SELECT project, deployment, deploymentnumber, startdate, enddate, package, recipientid, communityname,
            count(DISTINCT talkingbookid) AS n FROM x_depl GROUP BY ALL),

@@ -221,12 +221,16 @@ def uf_publish_manifest(
 ) -> DataFrame:
     """Where each published message comes from and goes to.
 
+    The folder is that of the bundle's language, which is its first message's, so a bundle stays in one place.
     Zipped, messages go into one archive per bundle; otherwise each keeps its own file, and
     ``limit`` stops after so many.  Copying the objects is the platform's job.
     """
+    bundle = ["programid", "deploymentnumber", "bundle_uuid"]
+    first = F.min_by("language", "message_uuid").alias("bundle_language")
+    assigned = assigned.join(assigned.groupBy(*bundle).agg(first), bundle)
     number = F.col("deploymentnumber").cast("string")
     source = F.concat_ws("/", F.lit("collected"), "programid", number, F.concat("message_uuid", F.lit(".mp3")))
-    folder = F.concat_ws("/", F.lit(root), F.concat(F.lit("deployment-"), number), "language")
+    folder = F.concat_ws("/", F.lit(root), F.concat(F.lit("deployment-"), number), "bundle_language")
     target = F.concat("bundle_uuid", F.lit(".zip")) if zipped else F.concat("message_uuid", F.lit(".mp3"))
     manifest = assigned.select(
         "programid", "deploymentnumber", "language", "message_uuid", source.alias("in_key"),

@@ -106,10 +106,17 @@ def kv_project_columns(spark, sf_dir):
 
 @query
 def concat_batches(spark, sf_dir):
-    lines = domain_tables(spark, sf_dir)["kv_lines"]
-    batches = [lines.where(F.col("file") == name) for name in ("f0.kvp", "f1.kvp", "f2.kvp")]
-    whole = batches[0].unionByName(batches[1]).unionByName(batches[2])
-    return kv.parse_kv(whole).groupBy("file", "operation").agg(F.count("*").alias("rows"))
+    """Every batch of log lines, written as a folder of its own and read as one log again."""
+    lines = domain_tables(spark, sf_dir)["kv_lines"].withColumn("batch", F.col("file"))
+    path = scratch_path(spark, "kv-batches")
+    lines.select("batch", F.concat_ws("\t", "file", "value").alias("value")).write.partitionBy("batch").text(path)
+    whole = spark.read.text(path).select(
+        F.substring_index("value", "\t", 1).alias("file"), F.expr("substring(value, instr(value, '\t') + 1)").alias("value")
+    )
+    names = ["user", "type", "ratio", "optional", "project", "community", "recipientid"]
+    return kv.parse_kv(whole).select(
+        "file", "timestamp", "operation", *[F.try_element_at("data", F.lit(n)).alias(n) for n in names]
+    )
 
 
 def _by_directory(t: Tables) -> DataFrame:
@@ -141,7 +148,7 @@ def src_recipients_map(spark, sf_dir):
         "project",
         F.initcap(F.concat_ws(" - ", "communityname", "groupname")).alias("directory"),
         "recipientid",
-        F.substring("recipientid", 2, 20).cast("bigint").alias("row_no"),
+        F.regexp_replace("recipientid", "^r", "").cast("bigint").alias("row_no"),
     )
     return lookup.recipients_by_directory(rows, ["row_no"])
 
@@ -326,7 +333,7 @@ def sink_project_reports(spark, sf_dir):
     t = domain_tables(spark, sf_dir)
     path = scratch_path(spark, "project-reports")
     chosen = {name: t[name] for name in ("deployments_by_community", "production_by_package")}
-    reports.write_project_reports(chosen, path)
+    reports.write_project_reports(chosen, path, t["project_list"])
     back = spark.read.option("header", True).schema(
         chosen["production_by_package"].withColumn("project_dir", F.lit("")).schema
     ).csv(f"{path}/production_by_package")
@@ -346,10 +353,7 @@ def sink_global_reports(spark, sf_dir):
 def sink_properties(spark, sf_dir):
     path = scratch_path(spark, "properties")
     reports.write_properties(_uf_records(spark, sf_dir), path)
-    back = spark.read.option("lineSep", reports.RECORD_END).text(path).select(
-        "program", F.col("deployment").cast("bigint").alias("deployment"), text.properties_map(F.col("value")).alias("props")
-    )
-    return back.select(
+    return reports.read_property_records(spark, path).select(
         "program", "deployment", F.size("props").alias("keys"),
         F.try_element_at("props", F.lit("metadata.MESSAGE_UUID")).alias("message_uuid"),
         F.try_element_at("props", F.lit("metadata.BYTES")).alias("bytes"),
@@ -444,8 +448,9 @@ def join_anti(spark, sf_dir):
 
 @query
 def join_semi_correlated(spark, sf_dir):
+    """Played contents that their package lists among its first places."""
     t = legacy_tables(spark, sf_dir)
-    listed = t["contentinpackage"].select("contentpackage", "contentid").distinct()
+    listed = t["contentinpackage"].where("position <= 2").select("contentpackage", "contentid").distinct()
     return t["syncaggregation"].join(listed, ["contentpackage", "contentid"], "left_semi")
 
 
@@ -497,7 +502,9 @@ def lookup_warnings(spark, sf_dir):
 @query
 def lookup_recipient_info(spark, sf_dir):
     t = domain_tables(spark, sf_dir)
-    rows = t["tbsdeployed"].select("talkingbookid", "deployedtimestamp", F.substring("recipientid", 1, 4).alias("recipientid"))
+    # ids of one device in seven are unknown
+    asked = F.when(F.col("talkingbookid").endswith("7"), F.concat("recipientid", F.lit("x"))).otherwise(F.col("recipientid"))
+    rows = t["tbsdeployed"].select("talkingbookid", "deployedtimestamp", asked.alias("recipientid"))
     return lookup.lookup_recipient_info(rows, t["recipients"]).select(
         "talkingbookid", "deployedtimestamp", "recipientid", F.size("recipient").alias("attributes"),
         *[F.try_element_at("recipient", F.lit(n)).alias(n) for n in ("program", "customer", "affiliate", "community", "listening_model")],

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldcast.functions.text import properties_map
 from fieldcast.tables import Tables
 
 # Reports written per project and for all projects.
@@ -38,14 +39,15 @@ def write_csv(frame: DataFrame, path: str, order: list[str] | None = None) -> No
     (flat.orderBy(*order) if order else flat).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_project_reports(reports: Mapping[str, DataFrame], path: str) -> None:
-    """One pass per report: ``<path>/<report>/project=<p>/part-*.csv`` for every project.
+def write_project_reports(reports: Mapping[str, DataFrame], path: str, active: DataFrame | None = None) -> None:
+    """One pass per report: ``<path>/<report>/project_dir=<p>/part-*.csv`` for every project, or those in ``active`` (column project).
 
     Rows are gathered by project before writing, which keeps the files few; AQE splits a
     project that is too large for one task.
     """
     for name, frame in reports.items():
-        flat = _flat(frame).withColumn("__project", F.col("project"))
+        wanted = frame if active is None else frame.join(active.select("project").distinct(), "project", "left_semi")
+        flat = _flat(wanted).withColumn("__project", F.col("project"))
         (
             flat.hint("rebalance", "__project")
             .withColumnRenamed("__project", "project_dir")
@@ -62,8 +64,11 @@ def write_global_reports(reports: Mapping[str, DataFrame], path: str) -> None:
 
 
 def project_report_set(t: Tables, **made: DataFrame) -> dict[str, DataFrame]:
-    """The per-project reports; ``made`` supplies those that need a parameter."""
-    return {name: made[name] if name in made else t[name] for name in PROJECT_REPORTS if name in made or name in t}
+    """The per-project reports; ``made`` supplies those that need a parameter.  A report that is neither made nor known is an error."""
+    absent = [name for name in PROJECT_REPORTS if name not in made and name not in t]
+    if absent:
+        raise KeyError(f"reports to be supplied: {', '.join(absent)}")
+    return {name: made[name] if name in made else t[name] for name in PROJECT_REPORTS}
 
 
 def properties_text(props: str = "props", header: str | None = None):
@@ -77,7 +82,7 @@ def properties_text(props: str = "props", header: str | None = None):
 def write_properties(records: DataFrame, path: str, header: str | None = None) -> None:
     """Properties records below ``program=/deployment=`` folders, many to a file, a blank line after each.
 
-    One file per message would be millions of tiny files; a reader splits at blank lines.
+    One file per message would be millions of tiny files; :func:`read_property_records` reads them back.
     """
     data = F.col("props")
     (
@@ -94,5 +99,15 @@ def write_properties(records: DataFrame, path: str, header: str | None = None) -
     )
 
 
+def read_property_records(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`write_properties` wrote: program, deployment, ``path`` (of the file), ``header`` comments and ``props``."""
+    records = spark.read.option("lineSep", RECORD_END).text(path)
+    comments = F.filter(F.split("value", "\r\n"), lambda line: line.startswith("#"))
+    return records.select(
+        "program", F.col("deployment").cast("bigint").alias("deployment"), F.col("_metadata.file_path").alias("path"),
+        comments.alias("header"), properties_map(F.col("value")).alias("props"),
+    )
+
+
 def export_recipients_map(recipients_map: DataFrame) -> DataFrame:
     return recipients_map.select("project", "directory", "recipientid")
