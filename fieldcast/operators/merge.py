@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.readwriter import DataFrameWriter
 
-from fieldcast.session import scratch_path
+from fieldcast.operators.commits import CommittedTable
 
 PLAYSTATISTICS_KEYS = ["timestamp", "tbcdid", "project", "deployment", "talkingbookid", "contentid"]
 TBSDEPLOYED_KEYS = ["talkingbookid", "deployedtimestamp"]
@@ -109,58 +106,22 @@ def backfill_descriptions(programs: DataFrame, projects: DataFrame) -> DataFrame
 
 
 class VersionedTable:
-    """A Parquet table replaced as a whole: each version is its own folder, a pointer names the current one.
-
-    Readers follow the pointer, so they see the old or the new version and never half of
-    one.  A writer that dies leaves only an unreferenced folder.
-    """
+    """A Parquet table replaced as a whole; readers see the old or the new version and never half of one."""
 
-    POINTER = "CURRENT"
-
-    def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None):
-        self._spark = spark
-        self._path = path.rstrip("/")
-        self._partition_by = partition_by or []
-
-    def _pointer(self, suffix: str = ""):
-        jvm = self._spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self._path}/{self.POINTER}{suffix}")
-        return path, path.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration())
+    def __init__(self, spark: SparkSession, path: str):
+        self._table, self._path = CommittedTable(spark, path), path
 
     def current(self) -> str | None:
-        """Folder of the current version, or None before the first write."""
-        path, fs = self._pointer()
-        if not fs.exists(path):
-            return None
-        rows = self._spark.read.text(f"{self._path}/{self.POINTER}").collect()  # one short line
-        return f"{self._path}/{json.loads(rows[0][0])['version']}"
+        """Name of the current version, or None before the first write."""
+        return self._table.versions().get("all")
 
     def read(self) -> DataFrame:
-        folder = self.current()
-        if folder is None:
+        rows = self._table.read()
+        if rows is None:
             raise FileNotFoundError(self._path)
-        return self._spark.read.parquet(folder)
-
-    def _writer(self, frame: DataFrame) -> DataFrameWriter:
-        writer = frame.write.mode("errorifexists")
-        return writer.partitionBy(*self._partition_by) if self._partition_by else writer
+        return rows
 
     def replace(self, frame: DataFrame) -> DataFrame:
-        """Write ``frame`` as the new version, then switch the pointer to it."""
-        folder = scratch_path(self._spark, "v").rsplit("/", 1)[1]
-        self._writer(frame).parquet(f"{self._path}/{folder}")
-        fresh, fs = self._pointer(f".{folder}")
-        out = fs.create(fresh, True)
-        out.write(bytearray(json.dumps({"version": folder}), "utf-8"))
-        out.close()
-        current, _ = self._pointer()
-        context = self._spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            fresh.toUri(), self._spark.sparkContext._jsc.hadoopConfiguration()
-        )
-        overwrite = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        options = self._spark.sparkContext._gateway.new_array(
-            self._spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1
-        )
-        options[0] = overwrite
-        context.rename(fs.makeQualified(fresh), fs.makeQualified(current), options)
+        """Write ``frame`` as the new version, then commit it."""
+        self._table.commit(frame)
         return self.read()

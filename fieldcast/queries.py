@@ -637,7 +637,7 @@ def ingest_incremental(spark, sf_dir):
     for part, condition in (("a", "tbcdid < 'tbcd4'"), ("b", "tbcdid >= 'tbcd4'")):
         _write_lines(lines.where(condition), f"{root}/inbox/{part}")
         ingest.ingest_incremental(spark, f"{root}/inbox", f"{root}/table", _no_recipients(spark), f"{root}/checkpoint", ingest.MONTHLY)
-    return spark.read.parquet(f"{root}/table").select(*_PLAY_OUT)
+    return ingest.read_periods(spark, f"{root}/table").select(*_PLAY_OUT)
 
 
 @query
@@ -648,7 +648,7 @@ def late_data(spark, sf_dir):
     for part, condition in (("new", "timestamp >= '1998-01-01'"), ("old", "timestamp < '1998-07-01'")):
         _write_lines(lines.where(condition), f"{root}/inbox/{part}")
         ingest.ingest_incremental(spark, f"{root}/inbox", f"{root}/table", _no_recipients(spark), f"{root}/checkpoint", ingest.MONTHLY)
-    return spark.read.parquet(f"{root}/table").select(*_PLAY_OUT)
+    return ingest.read_periods(spark, f"{root}/table").select(*_PLAY_OUT)
 
 
 @query
@@ -661,7 +661,7 @@ def reingest_partition(spark, sf_dir):
     fixed = lines.where("tbcdid = 'tbcd2'").withColumn("value", F.regexp_replace("value", ",completed:", ",completed:1"))
     _write_lines(fixed, f"{root}/archive/fixed")
     ingest.reingest(spark, f"{root}/archive/fixed", f"{root}/table", _no_recipients(spark), ingest.MONTHLY)
-    return spark.read.parquet(f"{root}/table").select(*_PLAY_OUT)
+    return ingest.read_periods(spark, f"{root}/table").select(*_PLAY_OUT)
 
 
 @query

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldcast.operators import merge
+from fieldcast.operators.commits import CommittedTable
 from fieldcast.operators.compare import report_diff
 from fieldcast.streaming import ingest
 
@@ -86,7 +87,7 @@ def test_incremental_ingest_is_idempotent(spark, tmp_path):
     def arrive(name, *lines):
         (inbox / name).write_text("\n".join(lines) + "\n")
         ingest.ingest_incremental(spark, str(inbox), table, people, str(tmp_path / "checkpoint"))
-        stored = spark.read.parquet(table)
+        stored = ingest.read_periods(spark, table)
         return sorted((str(r["timestamp"])[:10], r["contentid"], r["completed"], r["recipientid"]) for r in stored.collect())
 
     one = LINE.format(ts="20210105T100000.000Z", c="c1", n=1)
@@ -97,4 +98,40 @@ def test_incremental_ingest_is_idempotent(spark, tmp_path):
     final = [("2020-12-31", "c1", 9, "r1"), ("2021-01-05", "c1", 1, "r1"), ("2021-01-05", "c2", 7, "r1")]
     assert arrive("b.kvp", one, two.replace("completed:2", "completed:7"), late) == final
     ingest.reingest(spark, str(inbox / "b.kvp"), table, people)
-    assert spark.read.parquet(table).count() == 3
+    assert ingest.read_periods(spark, table).count() == 3
+
+
+def test_a_merge_that_dies_before_its_commit_can_be_repeated(spark, tmp_path, monkeypatch):
+    frame = lambda *rows: spark.createDataFrame(rows, "timestamp string, k string, v int, line int").selectExpr(
+        "cast(timestamp as timestamp_ntz) as timestamp", "k", "v", "line"
+    )
+    path = str(tmp_path / "t")
+    merge_in = lambda batch: ingest.merge_periods(spark, path, batch, ["timestamp", "k"], ["line"])
+    state = lambda: sorted((r.k, r.v) for r in ingest.read_periods(spark, path).collect())
+    merge_in(frame(("2020-01-01", "old1", 1, 0), ("2020-01-01", "old2", 1, 1), ("2020-01-02", "other", 1, 2)))
+    assert state() == [("old1", 1), ("old2", 1), ("other", 1)]
+
+    batch = frame(("2020-01-01", "old1", 2, 0), ("2020-01-03", "new", 1, 1), (None, "no time", 1, 2))
+    real = type(spark).createDataFrame
+
+    def fails(self, *args, **kwargs):
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", fails)
+    with pytest.raises(RuntimeError):
+        merge_in(batch)
+    monkeypatch.setattr(type(spark), "createDataFrame", real)
+    assert state() == [("old1", 1), ("old2", 1), ("other", 1)]
+    merge_in(batch)
+    assert state() == [("new", 1), ("no time", 1), ("old1", 2), ("old2", 1), ("other", 1)]
+
+
+def test_old_versions_are_removed(spark, tmp_path):
+    table = CommittedTable(spark, str(tmp_path / "t"), keep=2)
+    for k in range(5):
+        table.commit(spark.range(k, k + 1).withColumn("p", F.lit("x")), "p")
+    table.commit(spark.range(9, 10).withColumn("p", F.lit("y")), "p")
+    assert table.commits() == [5, 6]
+    assert sorted(r.id for r in table.read().collect()) == [4, 9]
+    assert len(list((tmp_path / "t" / "data" / "lot=x").iterdir())) == 1
+    assert table.read(["z"]) is None
