@@ -70,7 +70,11 @@ def production_by_deployment(t: Tables, fix_fanout: bool = False) -> DataFrame:
     in the minutes.  That factor is applied to finished sums instead of to rows;
     ``fix_fanout`` leaves it out.
     """
-    info = t["production_info"]
+    # both sides start from the same reduced rows, so the chain of joins runs and is shuffled once
+    info = t["production_info"].select(
+        "project", "deployment", "deploymentnumber", "startdate", "package", "languagecode", "categoryname", "contentid",
+        "duration_sec",
+    ).distinct()
     messages = info.select(
         "project", "deployment", "deploymentnumber", "startdate", "contentid", "duration_sec"
     ).distinct()
@@ -113,8 +117,9 @@ def production_by_package(t: Tables) -> DataFrame:
 
     Messages and categories are summed up separately and meet as one row per package.
     """
-    info = t["production_info"]
     keys = ["project", "deployment", "deploymentnumber", "startdate", "package", "languagecode", "language"]
+    # reduced once for both sides
+    info = t["production_info"].select(*keys, "categoryid", "contentid", "duration_sec").distinct()
     messages = (
         info.select(*keys, "contentid", "duration_sec")
         .distinct()
