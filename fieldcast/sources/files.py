@@ -26,23 +26,45 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType | str) -> DataFrame:
-    """CSV with a header, read with a given schema (no inference pass); columns are matched by name."""
-    wanted = spark.createDataFrame([], schema).schema
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(paths)
-    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
-
-
-def read_recipients_map(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with columns project, directory, recipientid in any order; the last row of a key wins."""
-    rows = spark.read.option("header", True).csv(path).select(
-        "project",
-        "directory",
-        "recipientid",
+def csv_by_header(spark: SparkSession, paths: str | list[str]) -> list[DataFrame]:
+    """The files as text columns, one frame for each header line that occurs among them.
+
+    Spark takes the first file's header for all files, so files are grouped by their own first line.  That is one
+    pass over the lines; file names and headers go to the driver, which lists the files anyway.
+    """
+    lines = spark.read.text(paths).select(
+        "value",
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
     )
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    return [reader.csv(row["files"]) for row in groups]
+
+
+def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType | str) -> DataFrame:
+    """CSV with a header in each file, read with a given schema; columns are matched by name, whatever their order."""
+    rows = spark.createDataFrame([], schema)
+    for raw in csv_by_header(spark, paths):
+        rows = rows.unionByName(raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in rows.schema]))
+    return rows
+
+
+def read_recipients_map(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """CSV with columns project, directory, recipientid in any order in each file; the last row of a key wins."""
+    rows = spark.createDataFrame([], "project string, directory string, recipientid string, file string, block long, line long")
+    for raw in csv_by_header(spark, paths):
+        rows = rows.unionByName(
+            raw.select(
+                "project",
+                "directory",
+                "recipientid",
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("line"),
+            )
+        )
     return recipients_by_directory(rows, ["file", "block", "line"])
 
 

@@ -77,7 +77,7 @@ def test_lookup_warnings(spark):
     asked = spark.createDataFrame([("care", "kpatua no"), ("care", "nowhere"), ("care", "nowhere"), ("x", "a"), ("x", "b")], "p string, d string")
     looked_up = lookup.lookup_recipient(asked, recipients, F.col("p"), F.col("d"))
     found = sorted((r["project"], r["directory"] or "", r["reason"], r["lines"]) for r in lookup.lookup_warnings(looked_up, recipients).collect())
-    assert found == [("CARE", "KPATUA NO 1", "override used", 1), ("CARE", "NOWHERE", "unknown directory", 2), ("X", "", "unknown project", 2)]
+    assert found == [("CARE", "KPATUA NO", "override used", 1), ("CARE", "NOWHERE", "unknown directory", 2), ("X", "", "unknown project", 2)]
 
 
 LINE = "t,deployment,action:update,tbcdid:0001,username:{user},project:P,deployment:D,package:K,community:{community},sn:S{n},firmware:f,location:L,timestamp:20170927T100005.486Z{more}"
@@ -196,3 +196,18 @@ def test_extract_and_properties_round_trip(spark, tmp_path):
     (back,) = spark.read.option("lineSep", reports.RECORD_END).text(str(tmp_path / "props")).collect()
     lines = back["value"].split("\r\n")
     assert lines == sorted(lines) and "metadata.filename=m1" in lines and back["program"] == "P"
+
+
+def test_csv_files_with_columns_in_another_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\none,1\n")
+    (tmp_path / "b.csv").write_text("y,x\n2,two\n")
+    (tmp_path / "c.csv").write_text("x,y\n\"three, and\",3\n")
+    found = files.read_csv(spark, str(tmp_path), "x string, y int")
+    assert sorted(map(tuple, found.collect())) == [("one", 1), ("three, and", 3), ("two", 2)]
+
+
+def test_recipients_maps_with_columns_in_another_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("project,directory,recipientid\np,d,r1\np,e,r2\n")
+    (tmp_path / "b.csv").write_text("recipientid,project,directory\nr3,P,D\n")
+    found = files.read_recipients_map(spark, str(tmp_path)).collect()
+    assert sorted((r["project"], r["directory"], r["recipientid"]) for r in found) == [("P", "D", "r3"), ("P", "E", "r2")]
