@@ -739,6 +739,12 @@ ORACLE: dict[str, str] = {
            r.country AS recipient_country, lang AS metadata_language,
            CASE WHEN doc_id % 17 = 0 THEN 36 ELSE 32 END AS id_length
            FROM documents LEFT JOIN recipients r ON r.recipientid = concat('r', doc_id % 150) WHERE doc_id % 19 <> 0""", "recipients"),
+    "uf_chain": sql(
+        """SELECT CASE WHEN doc_id % 17 <> 0 THEN md5(CAST(doc_id AS VARCHAR)) END AS message_uuid, CASE WHEN doc_id % 17 = 0 THEN 36 ELSE 32 END AS id_length,
+           concat('PROG', doc_id % 2) AS programid, doc_id % 3 AS deploymentnumber, concat('r', doc_id % 150) AS recipientid, concat('TB', doc_id % 40) AS talkingbookid,
+           CAST(floor((n_chars * 2 + 2) * 8.0e0 / CASE WHEN doc_id % 2 = 0 THEN 16000 ELSE 64 END + 0.5e0) AS BIGINT) AS length_seconds,
+           CASE WHEN doc_id % 3 <> 0 AND doc_id % 17 <> 0 THEN n_chars * 3 + 7 ELSE n_chars END AS length_bytes, lower(lang) AS language
+           FROM documents WHERE doc_id % 19 <> 0"""),
     "uf_extract_errors": sql(
         """SELECT concat('/uf/PROG', doc_id % 2, '/C', doc_id % 30, '/m', doc_id, '.a18') AS path, 'metadata version 2, expected 1' AS error
            FROM documents WHERE doc_id % 19 = 0"""),

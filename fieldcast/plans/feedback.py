@@ -77,10 +77,12 @@ def uf_import(messages: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def uf_extract(
-    audio: DataFrame, sidecars: DataFrame, recipients: DataFrame, deployments: DataFrame
+    audio: DataFrame, sidecars: DataFrame, recipients: DataFrame, deployments: DataFrame, exported: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Audio metadata with its sidecar and lookups -> (records, errors).
 
+    ``exported`` (``message_uuid``, ``bytes``) has the sizes of the exported files, which become ``metadata.BYTES``.
+
     ``audio`` is the result of ``a18_metadata``, ``sidecars`` of ``read_properties``; they
     belong together by path without extension.  Records carry the full map ``props``, ready
     for ``uf_map_columns`` and for the properties sink.
@@ -105,6 +107,11 @@ def uf_extract(
         .withColumn("deployment", F.try_element_at("sidecar", F.lit("DEPLOYMENT")))
         .withColumn("recipientid", F.try_element_at("sidecar", F.lit("RECIPIENTID")))
     )
+    sizes = F.create_map().cast("map<string,string>")
+    if exported is not None:
+        files = exported.select(F.col("message_uuid").alias("uuid"), F.col("bytes").cast("string").alias("exported_bytes"))
+        known = known.join(files, "uuid", "left")
+        sizes = F.when(F.col("exported_bytes").isNotNull(), F.create_map(F.lit("metadata.BYTES"), "exported_bytes")).otherwise(sizes)
     known = lookup_deployment_number(known, deployments, "program", "deployment")
     known = lookup_recipient_info(known, recipients)
     number = F.coalesce(
@@ -115,6 +122,7 @@ def uf_extract(
     props = merged(
         F.col("sidecar"),
         prefixed(F.col("md"), "metadata."),
+        sizes,
         F.create_map(F.lit(MESSAGE_UUID), F.col("uuid"), F.lit("DEPLOYMENT_NUMBER"), number),
         prefixed(F.col("recipient"), "recipient."),
     )

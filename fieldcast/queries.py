@@ -698,6 +698,26 @@ def uf_extract(spark, sf_dir):
     )
 
 
+@query
+def uf_chain(spark, sf_dir):
+    """Audio and sidecars to records on disk, read back and imported as messages; sizes are those of the exported files."""
+    t = domain_tables(spark, sf_dir)
+    audio = a18.a18_metadata(bindings.a18_files(spark, sf_dir))
+    exported = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id % 3 <> 0").select(
+        F.md5(F.col("doc_id").cast("string")).alias("message_uuid"), (F.col("n_chars") * 3 + 7).alias("bytes")
+    )
+    records, _ = feedback.uf_extract(audio, _uf_records(spark, sf_dir), t["recipients"], t["deployments"], exported)
+    path = scratch_path(spark, "uf-chain")
+    reports.write_properties(records, path)
+    messages = feedback.uf_typed(feedback.uf_map_columns(records)).limit(0)
+    imported = feedback.uf_import(messages, reports.read_property_records(spark, path).select("path", "props"))
+    known = F.when(F.length("message_uuid") == 32, F.col("message_uuid"))  # the others are made from the metadata
+    return imported.select(
+        known.alias("message_uuid"), F.length("message_uuid").alias("id_length"), "programid", "deploymentnumber",
+        "recipientid", "talkingbookid", "length_seconds", "length_bytes", "language",
+    )
+
+
 @query
 def uf_extract_errors(spark, sf_dir):
     return _extracted(spark, sf_dir)[1]
