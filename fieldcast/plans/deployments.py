@@ -177,13 +177,14 @@ def deployments_by_talkingbook(t: Tables) -> DataFrame:
 
 @mart
 def deployments_by_recipient(t: Tables) -> DataFrame:
-    return (
-        t["deployments_by_talkingbook"]
-        .groupBy(
+    return distinct_summary(
+        t["deployments_by_talkingbook"],
+        [
             "project", "deploymentnumber", "partner", "affiliate", "communityname", "groupname", "country", "region",
             "district", "recipientid",
-        )
-        .agg(text_list(F.col("deployment")).alias("deployment"), F.count_distinct("talkingbookid").alias("num_tbs"))
+        ],
+        counts={"num_tbs": "talkingbookid"},
+        lists={"deployment": "deployment"},
     )
 
 

@@ -133,9 +133,20 @@ def uf_extract(
 
 
 def uf_create_properties(
-    audio: DataFrame, sidecars: DataFrame, recipients_map: DataFrame, program: str, deployment_number: int
+    audio: DataFrame,
+    sidecars: DataFrame,
+    recipients_map: DataFrame,
+    program: str,
+    deployment_number: int,
+    recipients: DataFrame | None = None,
+    order: list[str] | None = None,
 ) -> DataFrame:
-    """Properties for audio files that have no sidecar; the recipient is found by the parent directory's name."""
+    """Properties for audio files that have no sidecar; the recipient is found by the parent directory's name.
+
+    Of several map rows with a directory the last by ``order`` counts (without an order, the greatest id).  With
+    ``recipients`` the found recipient's attributes are added as ``recipient.*``.
+    """
+    last = F.max_by("recipientid", F.struct(*order)) if order else F.max("recipientid")
     stem = F.regexp_replace("path", r"\.[^./]+$", "")
     bare = (
         audio.where(F.col("error").isNull())
@@ -146,7 +157,7 @@ def uf_create_properties(
     directory = (
         recipients_map.where(F.col("project") == program)
         .groupBy(F.col("directory").alias("community"))
-        .agg(F.max("recipientid").alias("recipientid"))
+        .agg(last.alias("recipientid"))
     )
     md = merged(F.col("md"), F.create_map(F.lit("filename"), F.regexp_extract("stem", r"([^/]+)$", 1)))
     props = merged(
@@ -163,7 +174,11 @@ def uf_create_properties(
         prefixed(md, "metadata."),
         F.create_map(F.lit(MESSAGE_UUID), message_uuid(md, F.lit(""))),
     )
-    return bare.join(directory, "community", "left").select("path", props.alias("props"))
+    found = bare.join(directory, "community", "left")
+    if recipients is None:
+        return found.select("path", props.alias("props"))
+    known = lookup_recipient_info(found, recipients)
+    return known.select("path", merged(props, prefixed(F.col("recipient"), "recipient.")).alias("props"))
 
 
 def uf_list_metadata(audio: DataFrame) -> DataFrame:

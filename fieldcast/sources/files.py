@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -159,20 +160,25 @@ def walk_counts(files: DataFrame, suffix: str) -> DataFrame:
 def _zip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for info in archive.infolist():
-                    member = next((a for a in ARTIFACTS if info.filename.endswith(a)), None)
-                    if member is None:
-                        continue
-                    lines = archive.read(info).decode("utf-8", errors="replace").splitlines()
-                    yield pd.DataFrame(
-                        {"path": path, "member": member, "line_no": range(len(lines)), "line": lines}
-                    )
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for info in archive.infolist():
+                        member = next((a for a in ARTIFACTS if info.filename.endswith(a)), None)
+                        if member is None:
+                            continue
+                        lines = archive.read(info).decode("utf-8", errors="replace").splitlines()
+                        yield pd.DataFrame(
+                            {"path": path, "member": member, "line_no": range(len(lines)), "line": lines}
+                        )
+            except (zipfile.BadZipFile, zlib.error, EOFError) as problem:
+                yield pd.DataFrame({"path": [path], "member": [None], "line_no": [-1], "line": [str(problem)]})
 
 
 def zip_artifacts(zips: DataFrame, loose: DataFrame | None = None) -> DataFrame:
     """Lines of the loader artifacts inside zips (``path``, ``content``).
 
+    A zip that cannot be read gives a row without a member, with line number -1 and the error as its line.
+
     ``loose`` (path, member, line_no, line) are artifacts that already lie in the directory
     as files: they are used instead of the zip's member of that name.
     """

@@ -68,3 +68,23 @@ def test_coordinates(spark, text, pair):
 
 def test_salvaged_text():
     assert _salvage(b"a\xffb\x01c\n") == "abc" and _salvage("é".encode()) == "é"
+
+
+def test_created_properties(spark):
+    from fieldcast.plans.feedback import uf_create_properties
+
+    audio = spark.createDataFrame([("/x/here/a.a18", {"PUBLISHER": "TB1", "TITLE": "t"}, None)], "path string, md map<string,string>, error string")
+    sidecars = spark.createDataFrame([], "path string, props map<string,string>")
+    directories = spark.createDataFrame([("P", "HERE", "r9", 1), ("P", "HERE", "r1", 2)], "project string, directory string, recipientid string, line int")
+    columns = "recipientid project partner affiliate country region district communityname groupname agent language listening_model".split()
+    people = spark.createDataFrame([("r1", "P", *[None] * 2, "C", *[None] * 7)], ", ".join(f"{c} string" for c in columns))
+    props = uf_create_properties(audio, sidecars, directories, "P", 3, people, ["line"]).first().props
+    assert props["RECIPIENTID"] == "r1" and props["recipient.country"] == "C" and props["TALKINGBOOKID"] == "TB1"
+
+
+def test_a_damaged_zip_gives_an_error_row(spark):
+    from fieldcast.sources.files import zip_artifacts
+
+    zips = spark.createDataFrame([("/in/1/tbcd1.zip", bytearray(b"no zip"))], "path string, content binary")
+    found = zip_artifacts(zips).collect()
+    assert [(r.directory, r.member, r.line_no) for r in found] == [("/in/1", None, -1)] and found[0].line
