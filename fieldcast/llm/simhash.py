@@ -91,11 +91,9 @@ def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
         packed = F.shiftleft(part(i), ring[(i + 1) % m][1]).bitwiseOR(after)
         return packed.bitwiseOR(F.lit(i << 56).cast("long"))
 
-    second = 1 if 2 * max_bits // m >= 1 else 0
     keep = F.array(*(key(i, 0) for i in range(m)))
-    ask = F.array(
-        *(key(i, flip) for i in range(m) for flip in [0, *((1 << b) for b in range(ring[(i + 1) % m][1]) if second)])
-    )
+    # the first two segments of a chain may differ in floor(2 d / m) = 1 bit, the first of them in none
+    ask = F.array(*(key(i, flip) for i in range(m) for flip in [0, *(1 << b for b in range(ring[(i + 1) % m][1]))]))
     kept = one.select(F.explode(keep).alias("key"), F.col("fp").alias("src"))
     asked = one.select(F.explode(ask).alias("key"), F.col("fp").alias("dst"))
 
