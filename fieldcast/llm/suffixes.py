@@ -204,7 +204,9 @@ def repeated_spans(docs: DataFrame, text: str, length: int, core: int, hot: int,
     named = samples.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
     again = stored(samples.join(named, "name"), "suffix-named")
 
-    classes = stored(again.groupBy("name", "around").agg(F.count("*").alias("n")), "suffix-classes")
+    # one sample stands for its class; chosen here, where a name's samples are combined before the shuffle
+    first = F.min(F.struct("k1", "k2", "at")).alias("one")
+    classes = stored(again.groupBy("name", "around").agg(F.count("*").alias("n"), first), "suffix-classes")
     whole = again.join(classes.where("n > 1").select("name", "around"), ["name", "around"]).select(
         "k1", "k2", (F.col("at") - (length - core)).alias("low"), (F.col("at") + length).alias("high")
     )
@@ -213,10 +215,7 @@ def repeated_spans(docs: DataFrame, text: str, length: int, core: int, hot: int,
         F.count("*").alias("contexts"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("lone")
     )
     edges = stored(edges.where("contexts > 1 and lone > 0").select("name", (F.col("contexts") > hot).alias("hot")), "suffix-edges")
-    of = again.join(edges, "name").groupBy("name", "around", "hot").agg(
-        F.min(F.struct("k1", "k2", "at")).alias("one"), F.count("*").alias("n")
-    )
-    asked = of.select("name", "around", "hot", "n", "one.*").groupBy("k1", "k2").agg(
+    asked = classes.join(edges, "name").select("name", "around", "hot", "n", "one.*").groupBy("k1", "k2").agg(
         F.collect_list(F.struct("name", "around", "hot", "n", "at")).alias("asked")
     )
     held = docs.select("k1", "k2", text).join(asked, ["k1", "k2"]).select("k1", "k2", text, "asked")
