@@ -79,14 +79,20 @@ def default_text(col: Column, default: str, *also: str) -> Column:
 
 
 def coordinates(col: Column) -> Column:
-    """``(a, b)``, ``a,b`` or ``a b`` -> struct of latitude and longitude; NULL unless it is two decimal numbers."""
+    """``(a, b)``, ``a,b`` or ``a b`` -> struct of latitude and longitude; NULL if it is anything else.
+
+    Of two halves one may be no decimal number: it is NULL then.
+    """
     text = strip(col)
     bare = strip(F.when(text.startswith("(") & text.endswith(")"), F.substr(text, F.lit(2), F.length(text) - 2)).otherwise(text))
     halves = F.split(bare, r"\s*,\s*|\s+")
     latitude, longitude = F.get(halves, F.lit(0)), F.get(halves, F.lit(1))
     return F.when(
-        (F.size(halves) == 2) & latitude.rlike(DECIMAL) & longitude.rlike(DECIMAL),
-        F.struct(latitude.try_cast("double").alias("latitude"), longitude.try_cast("double").alias("longitude")),
+        (F.size(halves) == 2) & (latitude.rlike(DECIMAL) | longitude.rlike(DECIMAL)),
+        F.struct(
+            F.when(latitude.rlike(DECIMAL), latitude.try_cast("double")).alias("latitude"),
+            F.when(longitude.rlike(DECIMAL), longitude.try_cast("double")).alias("longitude"),
+        ),
     )
 
 
