@@ -61,13 +61,14 @@ def drop_repeats(
     ids = table.select(F.col("lm row").alias("lm_row"), F.col(doc_id).alias("id"))
     # digests that occur once need no order; the others are ranked
     many = found.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    again = stored(found.join(many, "digest").join(ids, "lm_row"), "units-repeated")
+    # what is joined grows with the documents, so the joins are sorted ones at every size
+    again = stored(found.join(many.hint("merge"), "digest").join(ids.hint("merge"), "lm_row"), "units-repeated")
     place = F.struct(F.col("id").isNull().alias("none"), "id", F.col("lm_row"), F.col("at"))
-    first = again.groupBy("digest").agg(F.min(place).alias("first"))
-    gone = again.join(first, "digest").where((F.col("lm_row") != F.col("first.lm_row")) | (F.col("at") != F.col("first.at")))
+    first = stored(again.groupBy("digest").agg(F.min(place).alias("first")), "units-first")
+    gone = again.join(first.hint("merge"), "digest").where((F.col("lm_row") != F.col("first.lm_row")) | (F.col("at") != F.col("first.at")))
     lists = gone.groupBy("lm_row").agg(F.collect_list("at").alias("gone"))
 
-    joined = table.join(lists, table["lm row"] == lists["lm_row"], "left").select(*kept, "gone")
+    joined = table.join(lists.hint("merge"), table["lm row"] == lists["lm_row"], "left").select(*kept, "gone")
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))
     added = [T.StructField("n_units", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("removed", spans)]
     schema = T.StructType([joined.schema[c] for c in kept] + added)
