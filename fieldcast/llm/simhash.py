@@ -141,10 +141,11 @@ def one_of_each(
     numbered = docs.select(*(F.col(c).alias(f"lm {c}") for c in docs.columns), F.monotonically_increasing_id().alias("row"))
     table = stored(fingerprints(numbered, f"lm {text}", words), "simhash-documents")
     best = _best(table, f"lm {doc_id}", max_bits, F.col("row"))
-    # the rows that go are fewer than those that stay, and only their numbers meet the texts
+    # the rows that go are fewer than those that stay, and only their numbers meet the texts; they grow with the
+    # documents, so the join is a sorted one at every size
     best = best.select("fp", F.col("best.row").alias("first"))
     gone = stored(table.select("row", "fp").join(best, "fp").where("row <> first").select("row"), "simhash-gone")
-    return table.join(gone, "row", "left_anti").select(*(F.col(f"lm {c}").alias(c) for c in docs.columns))
+    return table.join(gone.hint("merge"), "row", "left_anti").select(*(F.col(f"lm {c}").alias(c) for c in docs.columns))
 
 
 def _best(table: DataFrame, doc_id: str, max_bits: int, row: Column | None = None) -> DataFrame:
