@@ -41,7 +41,7 @@ class SortedLines:
         lift = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(1), 0.0))
         self.directions = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, lines))
         spots = vectors @ self.directions[:-1] + lift[:, None] * self.directions[-1]
-        self.order = np.argsort(spots, axis=0, kind="stable").T.astype(np.int32).copy()
+        self.order = np.argsort(spots, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(spots.T, self.order, axis=1)
 
     def search(self, queries: np.ndarray, k: int, alpha: float, reach: float, growth: float):
@@ -49,30 +49,31 @@ class SortedLines:
         n, lines = len(self.vectors), len(self.order)
         scale = self.longest / np.linalg.norm(queries, axis=1)
         centres = (queries * scale[:, None]) @ self.directions[:-1]
-        exact = queries @ self.vectors.T
         need = int(np.ceil(alpha * lines))
         width = 2.0 * self.longest * reach
         widths = [width]
-        while widths[-1] > 0.02 * width:
+        while widths[-1] > 0.1 * width:
             widths.append(widths[-1] / growth)
         widths = widths[::-1]
         bounds = [self._bounds(centres, w) for w in widths]
         for q in range(len(queries)):
-            count = np.zeros(n, np.int32)
-            left = right = None
+            count, product = np.zeros(n, np.int64), np.full(n, -np.inf)
+            left = right = centre = (bounds[0][0][q] + bounds[0][1][q]) // 2
             for w, (low, high) in zip(widths, bounds, strict=True):
-                now_left, now_right = low[q], high[q]
-                if left is None:
-                    parts = [self.order[j, a:b] for j, (a, b) in enumerate(zip(now_left, now_right, strict=True))]
-                else:
-                    parts = [self.order[j, a:b] for j, (a, b) in enumerate(zip(now_left, left, strict=True)) if b > a]
-                    parts += [self.order[j, a:b] for j, (a, b) in enumerate(zip(right, now_right, strict=True)) if b > a]
+                now_left, now_right = np.minimum(low[q], centre), np.maximum(high[q], centre)
+                fresh = (left - now_left).sum() + (now_right - right).sum()
+                outside = lines * n - (now_right - now_left).sum()
+                if fresh <= outside:
+                    count += self._times(now_left, left, right, now_right)
+                else:  # windows are wide: what lies outside is less
+                    count = lines - self._times(np.zeros_like(now_left), now_left, now_right, np.full_like(now_left, n))
                 left, right = now_left, now_right
-                if parts:
-                    count += np.bincount(np.concatenate(parts), minlength=n).astype(np.int32)
-                verified = np.nonzero(count >= need)[0]
+                often = count >= need
+                new = np.nonzero(often & (product == -np.inf))[0]
+                product[new] = self.vectors[new] @ queries[q]
+                verified = np.nonzero(often)[0]
                 if len(verified) >= min(k, n):
-                    got = exact[q, verified]
+                    got = product[verified]
                     kth = np.partition(got, len(got) - k)[len(got) - k] if len(got) > k else got.min()
                     # squared distance of the lifted vectors
                     distance = np.sqrt(max(0.0, 2 * self.longest**2 - 2 * kth * scale[q]))
@@ -81,7 +82,15 @@ class SortedLines:
             else:
                 # the widest windows hold every vector that can be at any distance; what is left collides rarely
                 verified = np.arange(n) if len(verified) < min(k, n) else verified
-            yield verified, exact[q, verified]
+                got = self.vectors[verified] @ queries[q]
+            yield verified, got
+
+    def _times(self, a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """How often each vector lies at places a to b or c to d of the lines."""
+        spans = ((self.order[j], *at) for j, at in enumerate(zip(a.tolist(), b.tolist(), c.tolist(), d.tolist(), strict=True)))
+        parts = [x for line, a_, b_, c_, d_ in spans for x in (line[a_:b_], line[c_:d_]) if len(x)]
+        n = len(self.vectors)
+        return np.bincount(np.concatenate(parts), minlength=n) if parts else np.zeros(n, np.int64)
 
     def _bounds(self, centres: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray]:
         low = [np.searchsorted(s, c - width, "left") for s, c in zip(self.sorted, centres.T, strict=True)]
@@ -95,7 +104,7 @@ def nearest(
     vec_id: str = "vec_id",
     vector: str = "embedding",
     k: int = 20,
-    lines: int = 96,
+    lines: int = 64,
     alpha: float = 0.77,
     reach: float = 1.4,
     growth: float = 1.3,
