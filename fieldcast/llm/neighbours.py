@@ -6,7 +6,7 @@ array is built anew).  A vector that lies within the windows of a share ``alpha`
 be verified by its exact inner product.
 
 On one line two vectors at distance D differ by a normal number of deviation D.  Windows of half width
-``reach`` * R hold a vector at distance R with probability 0.84 (reach 1.4) a line, well over alpha = 0.77, and the search
+``reach`` * R hold a vector at distance R with probability 0.84 (reach 1.4) a line, well over alpha = 0.75, and the search
 ends when the k-th best verified vector is no farther than R: what is nearer has collided often enough with high probability.
 
 Largest inner products become smallest distances by one more coordinate: vectors are lifted to the length of the longest.
@@ -104,8 +104,8 @@ def nearest(
     vec_id: str = "vec_id",
     vector: str = "embedding",
     k: int = 20,
-    lines: int = 64,
-    alpha: float = 0.77,
+    lines: int = 48,
+    alpha: float = 0.75,
     reach: float = 1.4,
     growth: float = 1.3,
     vector_block: int = 8192,
