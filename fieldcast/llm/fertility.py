@@ -122,7 +122,8 @@ def base_failed(min_words: int, repeat_percent: int) -> Column:
 def bands(table: DataFrame, group: Column, width: float, min_texts: int, symbol_percent: int) -> DataFrame:
     """(group, low and high of each measure) from the documents of each language or script that pass the base rules.
 
-    A band reaches ``width`` interquartile ranges beyond the quartiles.  Entropy grows with length, so its band is one of
+    A band reaches ``width`` interquartile ranges beyond the quartiles; only where both quartiles are the same, a fixed range
+    stands for the one that is nothing.  Entropy grows with length, so its band is one of
     entropy against log2 of the tokens.  A group with fewer than ``min_texts`` such documents has no band.
     Quantiles are sketches combined before the shuffle, so a group with a third of all rows is no hot spot.
     """
@@ -132,9 +133,9 @@ def bands(table: DataFrame, group: Column, width: float, min_texts: int, symbol_
         F.count("*").alias("n"), *(F.percentile_approx(v, [0.25, 0.75], 10_000).alias(c) for c, v in shape.items())
     )
     sides = []
-    for c, least in (("chars_per_token", 0.15), ("byte_share", 0.01), ("token_entropy", 0.03)):
+    for c, flat in (("chars_per_token", 0.15), ("byte_share", 0.01), ("token_entropy", 0.03)):
         low, high = F.col(c)[0], F.col(c)[1]
-        reach = F.greatest(high - low, F.lit(least)) * width
+        reach = F.when(high > low, high - low).otherwise(flat) * width
         sides += [(low - reach).alias(f"low {c}"), (high + reach).alias(f"high {c}")]
     return quartiles.where(F.col("n") >= min_texts).select("lm group", *sides)
 
@@ -150,7 +151,7 @@ def judge(
     language: str | None = "lang",
     min_words: int = 50,
     repeat_percent: int = 50,
-    width: float = 4.0,
+    width: float = 2.0,
     min_texts: int = 30,
     symbol_percent: int = 5,
     vocabulary: str | None = None,
@@ -163,6 +164,8 @@ def judge(
     documents.  A text of a group without bands passes.  Null and empty texts have no words and fail the base
     rules.  Repeated rows are judged alike.  Columns named like a result are replaced; an empty table gives no rows.
 
+    Of the widths from 1 to 8, 2 gave the fewest wrong verdicts on labelled documents that are not held out.
+
     One pass measures and writes; bands come from the written figures and are joined back by their few rows.
     """
     drop = {"base_failed", "kept"}

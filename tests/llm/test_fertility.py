@@ -5,6 +5,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from llm_helpers import awkward, prose, table
+from pyspark.sql import functions as F
 
 from fieldcast.llm import fertility, textstats
 
@@ -62,5 +63,20 @@ def test_script(text, name):
     assert fertility.script(text) == name
 
 
+def test_bands_reach_as_far_as_the_measured_ranges_say(spark):
+    rows = [(2.0 + k / 1000, 0.0, 4.0 + k / 100, 256, False, 0, 100) for k in range(101)]
+    names = ("chars_per_token", "byte_share", "token_entropy", "n_tokens", "base_failed", "n_symbols", "word_chars")
+    made = fertility.bands(spark.createDataFrame(rows, names), F.lit("all"), 2.0, 30, 5).first()
+    wanted = [2.025 - 0.1, 2.075 + 0.1, -0.02, 0.02, (4.25 - 1) / 8, (4.75 + 1) / 8]
+    assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(made[1:], wanted, strict=True)), made
+
+
+def test_labelled_junk_is_rejected(spark):
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
+    judged = fertility.judge(read("documents")).where("not base_failed").join(read("labels"), "doc_id")
+    kept = {r.quality: r.kept for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert kept[0] < 0.5 and kept[1] > 0.95, kept
+
+
 def test_nothing(spark):
     assert fertility.judge(table(spark, [])).count() == 0
