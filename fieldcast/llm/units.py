@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,19 +16,31 @@ from fieldcast.session import send_with_tasks
 
 send_with_tasks(__name__)
 
+#: Letters of scripts that are written without blanks: Thai, Lao, Burmese, Khmer, kana, Han.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+LONG_WORD = 20
+
 
 def normalised(unit: str) -> bytes:
     """A unit with A-Z in lower case and every run of ASCII white space as one blank, none at the ends."""
     return b" ".join(unit.encode("utf-8", "surrogatepass").lower().split())
 
 
+def n_words(plain: bytes) -> int:
+    """Words of a unit in normal form; a letter of a script without blanks is one, and 20 code points are one at least."""
+    words, text = plain.count(b" ") + 1, plain.decode("utf-8", "surrogatepass")
+    if not text.isascii():
+        words += len(UNSPACED.findall(text))
+    return max(words, len(text) // LONG_WORD)
+
+
 def drop_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", separator: str = "\n", min_words: int = 5
 ) -> DataFrame:
     """``docs`` without the units that stand earlier, in this or another document.
 
     Units lie between separators (``\\n`` for lines, ``\\n\\n`` for paragraphs) and are compared in normal form, by 128 bits
-    of hash.  Those with fewer than ``min_words`` words are never touched.  Of equal units the one with the
+    of hash.  Those with fewer than ``min_words`` words (:func:`n_words`) are never touched.  Of equal units the one with the
     smallest ``doc_id`` (nulls last), and there the first, stays; of rows with the same id, one of them.  Results:
     ``n_units``, ``n_removed`` and ``removed``, the (start, length) in code points of each removed unit within the original
     text; the text keeps the other units, joined as before.  A null text stays null, an empty one empty; columns named like
@@ -48,7 +61,7 @@ def drop_repeats(
             for row, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for k, unit in enumerate((whole or "").split(separator)):
                     plain = normalised(unit)
-                    if plain and plain.count(b" ") + 1 >= min_words:
+                    if plain and (plain.count(b" ") + 1 >= min_words or n_words(plain) >= min_words):
                         rows.append(row)
                         at.append(k)
                         digests.append(xxhash.xxh3_128_digest(plain))
@@ -100,7 +113,10 @@ def drop_repeats(
 
 
 def drop_repeats_sql(table: str, min_words: int) -> str:
-    """Lines that stand earlier removed, over a table with unique doc_id, in DuckDB's SQL."""
+    """Lines that stand earlier removed, over a table with unique doc_id, in DuckDB's SQL.
+
+    It counts words at blanks alone, so it holds for tables whose repeated lines of fewer words are short and in scripts with blanks.
+    """
     space = "[\\x20\\x09-\\x0D]+"
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return f"""

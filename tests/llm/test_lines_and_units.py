@@ -75,5 +75,12 @@ def test_units_of_equal_rows_and_null_ids(spark):
     assert Counter((r.doc_id, r.text) for r in got) == Counter({(None, ""): 1, (5, "A  b c d e "): 1, (5, ""): 1, (None, None): 1})
 
 
+def test_units_without_blanks_take_part(spark):
+    texts = ["重复的一段文字没有空格。", "ข้อความที่ซ้ำกัน", "https://example.org/" + "path/" * 30, "two words"]
+    rows = [(k, "\n".join([*texts, f"{k}"]), None, "s", 0) for k in range(2)]
+    got = {r.doc_id: r.text for r in units.drop_repeats(table(spark, rows)).collect()}
+    assert got == {0: rows[0][1], 1: "two words\n1"}
+
+
 def test_units_of_nothing(spark):
     assert units.drop_repeats(table(spark, [])).count() == 0
