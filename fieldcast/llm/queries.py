@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcast.llm import fertility, lines, mixing, neighbours, packing, ranking, simhash, suffixes, toxicity, units
+from fieldcast.llm import (
+    fertility, importance, lines, mixing, neighbours, packing, ranking, simhash, suffixes, toxicity, trie, units,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +87,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations that begin like the first of their hundred."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return trie.prefix_trie(turns)
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document towards the benchmark, and the ranks of the twentieth that is drawn."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, _table(spark, sf_dir, "benchmark").select("text"))
+
+
 LINE_RATIO, LINE_PAGES = 0.05, 5
 UNIT_WORDS = 5
 
@@ -99,10 +113,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tokeniser_fertility": op8_tokeniser_fertility,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality": op10_quality,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_importance": op12_importance,
 }
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": lines.drop_boilerplate_sql("documents", LINE_RATIO, LINE_PAGES),
     "op4_mixing": mixing.mix_sql("documents"),
     "op9_substring_dedup": units.drop_repeats_sql("documents", UNIT_WORDS),
+    "op11_prefix_trie": trie.prefix_trie_sql("conversations"),
+    "op12_importance": importance.resample_sql("documents", "benchmark"),
 }
