@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldcast.llm import (
-    fertility, importance, lines, mixing, neighbours, packing, ranking, simhash, suffixes, toxicity, trie, units,
+    fertility, importance, jaccard, lines, mixing, neighbours, packing, ranking, simhash, suffixes, toxicity, trie, units,
 )
 
 
@@ -99,7 +99,14 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(docs, _table(spark, sf_dir, "benchmark").select("text"))
 
 
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose 4-word shingles overlap by 85 % or more."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.similar(docs, words=SHINGLE_WORDS, percent=SHINGLE_PERCENT)
+
+
 LINE_RATIO, LINE_PAGES = 0.05, 5
+SHINGLE_WORDS, SHINGLE_PERCENT = 4, 85
 UNIT_WORDS = 5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -115,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_importance": op12_importance,
+    "op13_jaccard": op13_jaccard,
 }
 
 ORACLE: dict[str, str] = {
@@ -123,4 +131,5 @@ ORACLE: dict[str, str] = {
     "op9_substring_dedup": units.drop_repeats_sql("documents", UNIT_WORDS),
     "op11_prefix_trie": trie.prefix_trie_sql("conversations"),
     "op12_importance": importance.resample_sql("documents", "benchmark"),
+    "op13_jaccard": jaccard.similar_sql("documents", SHINGLE_WORDS, SHINGLE_PERCENT),
 }
