@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,10 @@ from fieldcast.session import send_with_tasks
 
 send_with_tasks(__name__)
 
+#: Fixed value: the added token of ``byte_bpe_50k.json``, one id in any text.
+ADDED = {"<|endoftext|>": 50256}
 #: Chunks a task remembers before it starts anew; only a matter of memory.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 PLAN = "row long, spans array<struct<start:long,length:long,sequence_id:long,offset:long>>"
 
 
@@ -27,54 +30,83 @@ class ByteBpe:
     """Byte-level BPE ids of whole texts.
 
     ``vocabulary`` is a file of ranks (default: that of the public 50k vocabulary, which has the ids of
-    ``byte_bpe_50k.json``).  The pattern never joins a blank with what stands before it, so a text's ids are
+    ``byte_bpe_50k.json``); ``added`` are strings that are one id wherever they stand, as the added token of that file is.
+    The pattern never joins a blank with what stands before it, so a text's ids are
     those of its chunks between single blanks, each with its blank; a chunk is encoded when it is first met.  A text
-    with a chunk that is empty or has other white space at an end is encoded as a whole.
+    with a chunk that is empty, has other white space at an end or holds an added string is encoded as a whole.
     """
 
-    def __init__(self, vocabulary: str | None = None, pattern: str | None = None) -> None:
+    def __init__(self, vocabulary: str | None = None, pattern: str | None = None, added: dict[str, int] | None = None) -> None:
         import public_tokenizers
         import tiktoken
 
         with open(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines)}
         pattern = pattern or public_tokenizers.PATTERN
-        self.whole = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.added = ADDED if added is None else added
+        self.at_added = re.compile("|".join(f"({re.escape(a)})" for a in self.added)) if self.added else None
         self.opens = np.zeros(max(ranks.values()) + 1, bool)  # ids that begin with a blank, and so a chunk
         self.opens[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.heads: dict[str, np.ndarray] = {}
         self.pool, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def whole(self, text: str) -> list[int]:
+        if not self.at_added or not self.at_added.search(text):
+            return self.plain(text)
+        ids: list[int] = []
+        for part in self.at_added.split(text):
+            if part:
+                ids += [self.added[part]] if part in self.added else self.plain(part)
+        return ids
+
     def learn(self, chunks: set[str]) -> None:
-        if len(self.place) > REMEMBERED:
-            self.forget()
-        new = [c for c in chunks if c not in self.place]
+        new = chunks - self.place.keys()
         fine = [c for c in new if c and c == c.strip()]
+        if self.at_added and self.at_added.search(" ".join(fine)):
+            fine = [c for c in fine if not self.at_added.search(c)]
         self.place.update(dict.fromkeys(new, -1))
         if fine:
             self.place.update(zip(fine, range(len(self.ends) - 1, len(self.ends) - 1 + len(fine)), strict=True))
-            ids = np.array(self.whole(" " + " ".join(fine)), np.uint32)
+            ids = np.array(self.plain(" " + " ".join(fine)), np.uint32)
             ends = np.append(np.nonzero(self.opens[ids])[0][1:], len(ids))
             self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
             self.pool = np.concatenate([self.pool, ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [text.split(" ") for text in texts]
-        self.learn({chunk for chunks in split for chunk in chunks[1:]})
-        return [self._joined(text, chunks) for text, chunks in zip(texts, split, strict=True)]
-
-    def _joined(self, text: str, chunks: list[str]) -> np.ndarray:
-        first, places = chunks[0], np.fromiter(map(self.place.__getitem__, chunks[1:]), np.int64, len(chunks) - 1)
-        if len(places) == 0 or places.min() < 0 or not first or first != first.rstrip():
-            return np.array(self.whole(text), np.uint32)
+        """Ids of every text; equal texts are encoded once, and the chunks of all others are looked up together."""
+        if len(self.place) > REMEMBERED:
+            self.forget()
+        made: dict[str, np.ndarray] = dict.fromkeys(texts)
+        split = [text.split(" ") for text in made]
+        counts = np.array([len(chunks) - 1 for chunks in split], np.int64)
+        chunks = [chunk for chunks in split for chunk in chunks[1:]]
+        self.learn(set(chunks))
+        places = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
         starts = self.ends[places]
-        sizes = self.ends[places + 1] - starts
-        begins = np.cumsum(sizes) - sizes
-        where = np.arange(int(sizes.sum())) + np.repeat(starts - begins, sizes)
-        return np.concatenate([np.array(self.whole(first), np.uint32), self.pool[where]])
+        sizes = np.where(places < 0, 0, self.ends[places + 1] - starts)
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        pooled = self.pool[np.arange(begins[-1]) + np.repeat(starts - begins[:-1], sizes)]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        odd = np.concatenate([[0], np.cumsum(places < 0)])
+        odd, cuts = (odd[ends[1:]] > odd[ends[:-1]]).tolist(), begins[ends].tolist()
+        for k, text in enumerate(made):
+            head = split[k][0]
+            if odd[k] or not counts[k] or not head or head != head.rstrip():
+                made[text] = np.array(self.whole(text), np.uint32)
+            else:
+                made[text] = np.concatenate([self._head(head), pooled[cuts[k] : cuts[k + 1]]])
+        return [made[text] for text in texts]
+
+    def _head(self, chunk: str) -> np.ndarray:
+        ids = self.heads.get(chunk)
+        if ids is None:
+            ids = self.heads[chunk] = np.array(self.whole(chunk), np.uint32)
+        return ids
 
 
 def tokenised(docs: DataFrame, text: str, end_id: int, vocabulary: str | None, pattern: str | None) -> DataFrame:
