@@ -157,4 +157,6 @@ def _best(table: DataFrame, doc_id: str, max_bits: int, row: Column | None = Non
     own = table.groupBy("fp").agg(F.min(first).alias("own"))
     own = own.join(root, own["fp"] == root["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "own")
     own = stored(own, "simhash-own")
-    return own.join(own.groupBy("root").agg(F.min("own").alias("best")), "root").select("fp", "best")
+    # written before it is joined, so that a root that very many fingerprints have can be split
+    best = stored(own.groupBy("root").agg(F.min("own").alias("best")), "simhash-best")
+    return own.join(best, "root").select("fp", "best")
