@@ -201,7 +201,8 @@ def repeated_spans(docs: DataFrame, text: str, length: int, core: int, hot: int,
     """(k1, k2, low, high): bytes of the documents of each key that strings of ``length`` bytes cover which start elsewhere, too."""
     table = stored(_samples(docs, text, length, core), "suffix-samples")
     samples = table.select("k1", "k2", F.explode(F.arrays_zip("at", "name", "around")).alias("s")).select("k1", "k2", "s.*")
-    named = samples.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    # what is joined by a hot key is written first: Spark splits a hot partition only where no aggregate feeds the join
+    named = stored(samples.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "suffix-names")
     again = stored(samples.join(named, "name"), "suffix-named")
 
     # one sample stands for its class; chosen here, where a name's samples are combined before the shuffle
@@ -246,7 +247,7 @@ def repeated_spans(docs: DataFrame, text: str, length: int, core: int, hot: int,
     single = found.where("hot").dropDuplicates(["name", "around"]).select(fields)
     strings = single.mapInArrow(lambda batches: _starts(batches, length, core), rows)
     key = ["name", "before", "h1", "h2"]
-    twice = strings.groupBy(*key).agg(F.count("*").alias("twins")).where("twins > 1").select(key)
+    twice = stored(strings.groupBy(*key).agg(F.count("*").alias("twins")).where("twins > 1").select(key), "suffix-strings")
     hits = strings.where("n = 1").join(twice, key).groupBy("k1", "k2", "at").agg(F.max("before").alias("most"), F.min("before").alias("least"))
     frequent = hits.select("k1", "k2", (F.col("at") - F.col("most")).alias("low"), (F.col("at") - F.col("least") + length).alias("high"))
     return whole.union(usual).union(frequent)
@@ -271,14 +272,15 @@ def drop_repeated(
     new = ("kept", "n_bytes", "n_removed", "n_spans", "removed")
     names = [c for c in docs.columns if c != text and c.lower() not in new]
     keys = (F.xxhash64(doc_id, text).alias("k1"), F.xxhash64(F.length(text), text, doc_id, F.lit(1)).alias("k2"))
-    keyed = docs.select(*names, text, *keys)
-    spans = repeated_spans(keyed.select("k1", "k2", text), text, length, core, hot)
+    held = [f"lm kept {k}" for k in range(len(names))]
+    keyed = docs.select(*(F.col(c).alias(h) for c, h in zip(names, held, strict=True)), F.col(text).alias("text"), *keys)
+    spans = repeated_spans(keyed.select("k1", "k2", "text"), "text", length, core, hot)
     lists = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    joined = keyed.join(lists, ["k1", "k2"], "left").select(*names, text, "spans")
+    joined = keyed.join(lists, ["k1", "k2"], "left").select(*held, "text", "spans")
     at = len(names)
     pair = T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())])
     schema = T.StructType(
-        [joined.schema[c] for c in names]
+        [docs.schema[c] for c in names]
         + [T.StructField("kept", T.BinaryType(), False)]
         + [T.StructField(c, T.LongType(), False) for c in new[1:4]]
         + [T.StructField("removed", T.ArrayType(pair), False), T.StructField("kept_sha256", T.StringType(), False)]

@@ -38,7 +38,7 @@ def edges():
 @pytest.mark.parametrize("length", [400, 37])
 def test_against_plain_version(spark, length, hot):
     rows = edges() + [(r[0] if r[0] is None else r[0] + 500, *r[1:]) for r in awkward() if len(r[1] or "") < 50_000]
-    got = suffixes.drop_repeated(table(spark, rows, kept="x", n_bytes="y"), length=length, hot=hot).collect()
+    got = suffixes.drop_repeated(table(spark, rows, kept="x", n_bytes="y", k1="z", k2="a", spans="b", low="c", at="d", name="e", **{"lm text": "f", "lm spans": "g"}), length=length, hot=hot).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == plain(rows, length)
     for r in got:
         assert sum(s.length for s in r.removed) == r.n_removed and len(r.removed) == r.n_spans
