@@ -49,17 +49,21 @@ def drop_boilerplate(
     Pages are not shuffled when the lists are few: they are written first, so Spark sees their size and
     chooses between a broadcast and a join by host whose skewed partitions it can split.
     """
-    lists = stored(boilerplate(docs, host, text, ratio, min_pages), "boilerplate").withColumnRenamed("host", "lm host")
+    lists = stored(boilerplate(docs, host, text, ratio, min_pages), "boilerplate")
+    lists = lists.select(F.col("host").alias("lm host"), F.col("lines").alias("lm lines"))
     kept = [c for c in docs.columns if c.lower() != "n_dropped"]
-    joined = docs.select(kept).join(lists, F.col(host).eqNullSafe(F.col("lm host")), "left")
-    lines = F.split(F.col(text), "\n")
+    named = {c: f"lm kept {k}" for k, c in enumerate(kept)}
+    joined = docs.select(*(F.col(c).alias(n) for c, n in named.items()))
+    joined = joined.join(lists, F.col(named[host]).eqNullSafe(F.col("lm host")), "left")
+    given = F.col(named[text])
+    lines = F.split(given, "\n")
     # a digest in the list is that of a line that is not blank
-    stay = F.filter(lines, lambda x: ~F.array_contains(F.col("lines"), _digest(x)))
-    some = F.col("lines").isNotNull() & F.col(text).isNotNull()
+    stay = F.filter(lines, lambda x: ~F.array_contains(F.col("lm lines"), _digest(x)))
+    some = F.col("lm lines").isNotNull() & given.isNotNull()
     joined = joined.withColumn("lm stay", F.when(some, stay))
-    clean = F.when(some, F.array_join("lm stay", "\n")).otherwise(F.col(text))
+    clean = F.when(some, F.array_join("lm stay", "\n")).otherwise(given)
     dropped = F.when(some, F.size(lines) - F.size("lm stay")).otherwise(0).cast("long")
-    return joined.select(*(clean.alias(c) if c == text else F.col(c) for c in kept), dropped.alias("n_dropped"))
+    return joined.select(*(clean.alias(c) if c == text else F.col(n).alias(c) for c, n in named.items()), dropped.alias("n_dropped"))
 
 
 def drop_boilerplate_sql(table: str, ratio: float, min_pages: int) -> str:

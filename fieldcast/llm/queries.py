@@ -59,7 +59,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of strings of 400 bytes that start more than once."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = suffixes.drop_repeated(docs, length=400)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    left = F.expr("make_valid_utf8(cast(kept as string))")  # a cut may fall within a character
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", left.alias("text"))
 
 
 def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +74,7 @@ def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the lines of five words or more that stand earlier, and where these were."""
+    """All documents without the lines that stand earlier, and where these were."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = units.drop_repeats(docs, min_words=UNIT_WORDS)
     spans = F.transform("removed", lambda s: F.concat_ws("+", s["start"].cast("string"), s["length"].cast("string")))
@@ -107,7 +108,7 @@ def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LINE_RATIO, LINE_PAGES = 0.05, 5
 SHINGLE_WORDS, SHINGLE_PERCENT = 4, 85
-UNIT_WORDS = 5
+UNIT_WORDS = 1
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,

@@ -35,7 +35,7 @@ def n_words(plain: bytes) -> int:
 
 
 def drop_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", separator: str = "\n", min_words: int = 5
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", separator: str = "\n", min_words: int = 1
 ) -> DataFrame:
     """``docs`` without the units that stand earlier, in this or another document.
 
@@ -52,7 +52,9 @@ def drop_repeats(
     """
     new = ("n_units", "n_removed", "removed")
     kept = [c for c in docs.columns if c.lower() not in new]
-    table = stored(docs.select(*kept, F.monotonically_increasing_id().alias("lm row")), "units-documents")
+    named = [F.col(c).alias(f"lm kept {k}") for k, c in enumerate(kept)]
+    table = stored(docs.select(*named, F.monotonically_increasing_id().alias("lm row")), "units-documents")
+    own = {c: f"lm kept {k}" for k, c in enumerate(kept)}
     places = "lm_row long, at int, digest binary"
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,22 +71,24 @@ def drop_repeats(
             yield pa.RecordBatch.from_arrays(columns, names=["lm_row", "at", "digest"])
 
     found = stored(
-        table.select("lm row", text).mapInArrow(units, places), "units-digests"
+        table.select("lm row", own[text]).mapInArrow(units, places), "units-digests"
     )
-    ids = table.select(F.col("lm row").alias("lm_row"), F.col(doc_id).alias("id"))
+    ids = table.select(F.col("lm row").alias("lm_row"), F.col(own[doc_id]).alias("id"))
     # digests that occur once need no order; the others are ranked
-    many = found.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    # what is joined grows with the documents, so the joins are sorted ones at every size
+    many = stored(found.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "units-many")
+    # what is joined grows with the documents, so the joins are sorted ones at every size; an aggregate is written
+    # before it is joined, so that a digest that very many documents hold can be split
     again = stored(found.join(many.hint("merge"), "digest").join(ids.hint("merge"), "lm_row"), "units-repeated")
     place = F.struct(F.col("id").isNull().alias("none"), "id", F.col("lm_row"), F.col("at"))
     first = stored(again.groupBy("digest").agg(F.min(place).alias("first")), "units-first")
     gone = again.join(first.hint("merge"), "digest").where((F.col("lm_row") != F.col("first.lm_row")) | (F.col("at") != F.col("first.at")))
     lists = gone.groupBy("lm_row").agg(F.collect_list("at").alias("gone"))
 
-    joined = table.join(lists.hint("merge"), table["lm row"] == lists["lm_row"], "left").select(*kept, "gone")
+    joined = table.join(lists.hint("merge"), table["lm row"] == lists["lm_row"], "left")
+    joined = joined.select(*(own[c] for c in kept), "gone")
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))
     added = [T.StructField("n_units", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("removed", spans)]
-    schema = T.StructType([joined.schema[c] for c in kept] + added)
+    schema = T.StructType([docs.schema[c] for c in kept] + added)
     where = kept.index(text)
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))]
 
@@ -115,7 +119,7 @@ def drop_repeats(
 def drop_repeats_sql(table: str, min_words: int) -> str:
     """Lines that stand earlier removed, over a table with unique doc_id, in DuckDB's SQL.
 
-    It counts words at blanks alone, so it holds for tables whose repeated lines of fewer words are short and in scripts with blanks.
+    It counts words at blanks alone, which is the same for ``min_words`` 1.
     """
     space = "[\\x20\\x09-\\x0D]+"
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -29,7 +29,7 @@ def plain_lines(rows, ratio, min_pages):
 @pytest.mark.parametrize(("ratio", "min_pages"), [(0.5, 5), (0.05, 2), (0.0, 1), (1.0, 1)])
 def test_boilerplate_against_plain_version(spark, ratio, min_pages):
     rows = site(60) + awkward()
-    got = lines.drop_boilerplate(table(spark, rows, n_dropped="x", host="y"), "source", "text", ratio, min_pages)
+    got = lines.drop_boilerplate(table(spark, rows, n_dropped="x", host="y", lines="z", pages="a", line="b", n="c", **{"lm host": "d", "lm lines": "e", "lm stay": "f"}), "source", "text", ratio, min_pages)
     assert Counter((r.doc_id, r.source, r.text, r.n_dropped) for r in got.collect()) == plain_lines(rows, ratio, min_pages)
     assert "host" in got.columns
 
@@ -64,7 +64,7 @@ def plain_units(rows, separator, min_words):
 def test_units_against_plain_version(spark, separator, min_words):
     rows = [r for r in awkward() if r[0] is not None and r[0] < 101] + site(20)[:20]
     rows = [(k, *r[1:]) for k, r in enumerate(rows)]
-    got = units.drop_repeats(table(spark, rows, removed="x"), separator=separator, min_words=min_words).collect()
+    got = units.drop_repeats(table(spark, rows, removed="x", gone="y", lm_row="z", digest="a", id="b", at="c", first="d", **{"lm row": "e", "lm gone": "f"}), separator=separator, min_words=min_words).collect()
     assert {r.doc_id: (r.text, [tuple(s) for s in r.removed]) for r in got} == plain_units(rows, separator, min_words)
     assert all(r.n_removed == len(r.removed) for r in got)
 
@@ -78,7 +78,7 @@ def test_units_of_equal_rows_and_null_ids(spark):
 def test_units_without_blanks_take_part(spark):
     texts = ["重复的一段文字没有空格。", "ข้อความที่ซ้ำกัน", "https://example.org/" + "path/" * 30, "two words"]
     rows = [(k, "\n".join([*texts, f"{k}"]), None, "s", 0) for k in range(2)]
-    got = {r.doc_id: r.text for r in units.drop_repeats(table(spark, rows)).collect()}
+    got = {r.doc_id: r.text for r in units.drop_repeats(table(spark, rows), min_words=5).collect()}
     assert got == {0: rows[0][1], 1: "two words\n1"}
 
 
