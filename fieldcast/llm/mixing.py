@@ -87,13 +87,16 @@ def mix(
     table = stored(table.select(F.col("source").alias("lm source"), below.alias("lm below")), "mixing-distributions")
 
     kept = [c for c in docs.columns if c.lower() not in ("copy", "shuffle_key")]
-    key = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
-    drawn = docs.select(*kept, _uniform(F.lit(f"{seed}:copies"), key).alias("lm u")).join(
-        table, F.col(source).eqNullSafe(F.col("lm source"))
+    named = {c: f"lm kept {k}" for k, c in enumerate(kept)}
+    key = F.coalesce(F.col(named[doc_id]).cast("string"), F.lit("null"))
+    held = docs.select(*(F.col(c).alias(n) for c, n in named.items()))
+    drawn = held.withColumn("lm u", _uniform(F.lit(f"{seed}:copies"), key)).join(
+        table, F.col(named[source]).eqNullSafe(F.col("lm source"))
     )
     copies = F.size(F.filter("lm below", lambda p: p <= F.col("lm u")))
-    many = drawn.where(copies > 0).select(*kept, F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
-    mixed = many.withColumn("shuffle_key", _uniform(F.lit(f"{seed}:order"), key, F.col("copy").cast("string")))
+    many = drawn.where(copies > 0).select(*named.values(), F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    order = _uniform(F.lit(f"{seed}:order"), key, F.col("copy").cast("string"))
+    mixed = many.select(*(F.col(n).alias(c) for c, n in named.items()), "copy", order.alias("shuffle_key"))
     return mixed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 

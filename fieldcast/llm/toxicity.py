@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldcast.llm import grammar
 from fieldcast.llm.common import each_text, held_out, stored
+from fieldcast.llm.grammar import NEGATIONS, REPORTS, TARGETS, THREATS, clause_grammar, clause_weight
 from fieldcast.llm.training import labelled_sample, logistic
 from fieldcast.session import send_with_tasks
 
@@ -39,9 +39,9 @@ class Lexicon:
 
     def __init__(self, insults: dict[str, float]) -> None:
         self.insults = insults
-        self.table = grammar.clause_grammar()
+        self.table = clause_grammar()
         self.closed = {}
-        for symbol, listed in (("r", grammar.REPORTS), ("t", grammar.THREATS), ("n", grammar.NEGATIONS), ("y", grammar.TARGETS)):
+        for symbol, listed in (("r", REPORTS), ("t", THREATS), ("n", NEGATIONS), ("y", TARGETS)):
             self.closed.update(dict.fromkeys(listed.split(), symbol))
         self.seen: dict[str, tuple[str, float]] = {}
 
@@ -79,7 +79,7 @@ class Lexicon:
                     clause.append(item)
                     continue
                 if clause:
-                    weight, found = grammar.clause_weight(self.table, clause)
+                    weight, found = clause_weight(self.table, clause)
                     total, matches, clauses = total + weight, matches + found, clauses + (found > 0)
                     heaviest = max(heaviest, weight)
                 clause = []
@@ -106,11 +106,11 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def learn_insults(sample: DataFrame, least: int = 3, purity: float = 0.8, top: int = 4000, depth: int = 3) -> dict[str, float]:
+def learn_insults(sample: DataFrame, least: int = 3, purity: float = 0.8, depth: int = 3) -> dict[str, float]:
     """Terms that mark toxic texts, with their weights.
 
     Candidates are words and stems in ``least`` toxic texts and 0.2 % of them at least, whose share among toxic
-    texts outweighs that among clean ones as ``purity`` says; the ``top`` heaviest are looked at.  Then the cover is
+    texts outweighs that among clean ones as ``purity`` says; the sample bounds their number.  Then the cover is
     greedy: again and again the term that covers most toxic texts, until every text has ``depth`` terms or no
     term reaches ``least`` more texts (or 0.1 % of them).  Terms that only happen to stand beside insults don't get in.
     Weights are those of a logistic fit on how often each chosen term stands in a text, negative ones left out.
@@ -123,7 +123,7 @@ def learn_insults(sample: DataFrame, least: int = 3, purity: float = 0.8, top: i
     counted = counted.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     p, n = (F.col("pos") + 0.5) / (n_pos + 1), (F.col("neg") + 0.5) / (n_neg + 1)
     pure = counted.where((F.col("pos") >= max(least, 0.002 * n_pos)) & (p >= purity * (p + n)))
-    heavy = pure.select("term", F.log(p / n).alias("weight"), "pos").orderBy(F.desc("pos"), "term").limit(top)
+    heavy = pure.select("term", F.log(p / n).alias("weight"), "pos")
     found = {r["term"]: (r["weight"], r["pos"]) for r in heavy.collect()}
     if not found:
         return {}

@@ -49,7 +49,7 @@ def test_verdicts(spark):
     rows = [(k, prose(k, 80 + k), "en", "s", 0) for k in range(60)]
     rows += [(100, "힣ༀሴ " * 80, "en", "s", 0), (101, " ".join(f"{k}{chr(0x2580 + k)}" for k in range(90)), "en", "s", 0)]
     rows += [(102, prose(1, 30), "en", "s", 0), (103, "w v u " * 40, "en", "s", 0), (104, None, None, None, None), (105, prose(2, 90), None, "s", 0)]
-    docs = table(spark, rows * 1, kept="x", base_failed="y")
+    docs = table(spark, rows * 1, kept="x", base_failed="y", **{"lm group": "z", "low byte_share": "a", "lm lang": "b", "lm band 0": "c", "lm group 0": "d"})
     got = {r.doc_id: r for r in fertility.judge(docs).collect()}
     assert len(got) == len(rows)
     assert all(got[k].kept and not got[k].base_failed for k in range(60))
@@ -71,6 +71,37 @@ def test_bands_reach_as_far_as_the_measured_ranges_say(spark):
     assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(made[1:], wanted, strict=True)), made
 
 
+def test_small_groups_take_wider_bands(spark):
+    rows = [(k, prose(k, 80 + k), "en", "s", 0) for k in range(60)]
+    junk = " ".join(f"{k}{chr(0x2580 + k)}" for k in range(90))
+    rows += [(100 + k, junk if k % 2 else prose(k, 90), "xx", "s", 0) for k in range(10)]  # too few for a band of their own
+    rows += [(200, "ж" + " ж".join(chr(0x430 + k % 30) * 9 for k in range(80)), "ru", "s", 0)]  # a script without bands
+    got = {r.doc_id: r.kept for r in fertility.judge(table(spark, rows)).collect()}
+    assert all(got[100 + k] == (k % 2 == 0) for k in range(10)) and not got[200]
+
+
+def test_verdict_equals_plain_version(spark):
+    rows = [(k, prose(k, 60 + k % 70) + (" \u2580" * (k % 9) if k % 7 == 0 else ""), "en" if k % 3 else None, "s", 0) for k in range(150)]
+    judged = fertility.judge(table(spark, rows)).collect()
+
+    def shape(r):
+        return r.chars_per_token, r.byte_share, r.token_entropy / math.log2(max(2, min(r.n_tokens, 256)))
+
+    def limits(group):
+        usual = [shape(r) for r in group if not r.base_failed and 100 * r.n_symbols <= 5 * r.word_chars]
+        for values, flat in zip(zip(*usual, strict=True), (0.15, 0.01, 0.03), strict=True):
+            values = sorted(values)
+            low, high = (values[max(0, math.ceil(q * len(values)) - 1)] for q in (0.25, 0.75))
+            yield low - 2 * (high - low or flat), high + 2 * (high - low or flat)
+
+    by_group = {lang: list(limits([r for r in judged if r.lang == lang])) for lang in ("en",)}
+    by_group[None] = list(limits(judged))  # all are of one script
+    for r in judged:
+        inside = all(low <= v <= high for v, (low, high) in zip(shape(r), by_group[r.lang], strict=True))
+        assert r.kept == (not r.base_failed and inside), r.doc_id
+    assert 0 < sum(r.kept for r in judged) < len(judged)
+
+
 def test_labelled_junk_is_rejected(spark):
     read = lambda name: spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
     judged = fertility.judge(read("documents")).where("not base_failed").join(read("labels"), "doc_id")

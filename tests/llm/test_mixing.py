@@ -36,10 +36,10 @@ def plain(rows, weights, size, seed):
     ("weights", "size"), [(None, None), ({"src0": 3.0, "src1": 1.0}, 100.0), ({None: 1.0}, 40.0), ({}, None), (None, 0.0), ({"no such": 1.0}, 5.0)]
 )
 def test_against_plain_version(spark, weights, size):
-    got = mixing.mix(table(spark, copy="x", shuffle_key="y"), weights=weights, size=size, seed=7)
+    got = mixing.mix(table(spark, copy="x", shuffle_key="y", rate="z", **{"lm source": "a", "lm below": "b", "lm u": "c"}), weights=weights, size=size, seed=7)
     rows = got.collect()
     assert Counter((r.doc_id, r.text, r["copy"], r.shuffle_key) for r in rows) == plain(awkward(), weights, size, 7)
-    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "copy", "shuffle_key"]
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "rate", "lm source", "lm below", "lm u", "copy", "shuffle_key"]
 
 
 def test_mean_rates(spark):
