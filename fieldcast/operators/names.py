@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WILDCARD = r"[%_\\]"
+#: stand-ins that no name holds: beginning and end of a name, an open character, escaped characters of a pattern
+BEGIN, END, GAP = "\ue003", "\ue004", "\ue005"
+ESCAPED = {"\\\\": "\ue000", "\\%": "\ue001", "\\_": "\ue002"}
+#: parts into which the names that hold one gram are dealt
+SALTS = 32
 
 
 def has_wildcard(col: Column) -> Column:
@@ -24,36 +29,62 @@ def wildcard_flags(df: DataFrame, columns: list[str]) -> dict[str, bool]:
     return {c: bool(row[c]) for c in columns}
 
 
+def _grams(text: Column) -> Column:
+    """Runs of one, two and three characters of a text, and of three whose middle one is open."""
+
+    def at(i: Column) -> Column:
+        w = F.substr(text, i, F.lit(3))
+        first = F.substr(w, F.lit(1), F.lit(1))
+        open_middle = F.concat(first, F.lit(GAP), F.substr(w, F.lit(3), F.lit(1)))
+        shorter = F.array(w, F.substr(w, F.lit(1), F.lit(2)), first)
+        return F.when(F.length(w) == 3, F.concat(shorter, F.array(open_middle))).otherwise(shorter)
+
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.length(text)), at))
+
+
+def _ends(text: Column) -> Column:
+    return F.concat(F.lit(BEGIN), text, F.lit(END))
+
+
+def pattern_grams(pattern: Column) -> Column:
+    """The grams that every text which matches a LIKE pattern holds, its beginning and end counted as characters."""
+    plain = pattern
+    for escaped, stand_in in ESCAPED.items():
+        plain = F.replace(plain, F.lit(escaped), F.lit(stand_in))
+    runs = F.filter(F.split(_ends(plain), "%"), lambda run: F.length(run) > 0)
+    grams = F.filter(F.flatten(F.transform(runs, _grams)), lambda g: ~F.contains(g, F.lit("_")))
+
+    def literal(gram: Column) -> Column:
+        for escaped, stand_in in ESCAPED.items():
+            gram = F.replace(gram, F.lit(stand_in), F.lit(escaped[1]))
+        return gram
+
+    return F.array_distinct(F.transform(grams, literal))
+
+
 def match_names(
     subjects: DataFrame, patterns: DataFrame, keys: list[str], subject: str, pattern: str
 ) -> DataFrame:
     """``(keys, __subject, __pattern)`` pairs of lower-case names where a wildcard pattern matches.
 
-    The pattern's literal head must be a prefix of the subject, so the two sets of distinct
-    names meet on that prefix and ILIKE only confirms the candidates.
+    An index of grams finds the candidates: a pattern looks only at the names that hold its rarest literal gram, wherever
+    in the name that stands, and ILIKE confirms them.  ``%a_1%`` has ``a`` and ``1`` with an open character between;
+    a pattern without any literal has the beginning that all names have.  Names are dealt out within each gram, so one that
+    very many names of a project hold is spread over as many tasks as others are.
     """
-    wild = (
-        patterns.where(has_wildcard(F.col(pattern)))
-        .select(*keys, F.lower(pattern).alias("__pattern"))
-        .distinct()
-        .withColumn("__head", F.regexp_extract("__pattern", r"^[^%_\\]*", 0))
-    )
-    heads = (
-        subjects.where(F.col(subject).isNotNull())
-        .select(*keys, F.lower(subject).alias("__subject"))
-        .distinct()
-        .withColumn(
-            "__head",
-            F.explode(
-                F.transform(
-                    F.sequence(F.lit(0), F.length("__subject")),
-                    lambda n: F.substr(F.col("__subject"), F.lit(1), n),
-                )
-            ),
-        )
-    )
+    wild = patterns.where(has_wildcard(F.col(pattern))).select(*keys, F.lower(pattern).alias("__pattern")).distinct()
+    names = subjects.where(F.col(subject).isNotNull()).select(*keys, F.lower(subject).alias("__subject")).distinct()
+    held = names.select(*keys, "__subject", F.explode(F.array_distinct(_grams(_ends(F.col("__subject"))))).alias("__gram"))
+    often = held.groupBy(*keys, "__gram").agg(F.count("*").alias("__n"))
+    asked = wild.select(*keys, "__pattern", F.explode(pattern_grams(F.col("__pattern"))).alias("__gram"))
+    # a gram that no name holds is the rarest, and then nothing matches
+    counted = asked.join(often, [*keys, "__gram"], "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
+    rarest = counted.groupBy(*keys, "__pattern").agg(F.min(F.struct("__n", "__gram")).alias("__least"))
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
+    wanted = rarest.where("__least.__n > 0").select(*keys, "__pattern", F.col("__least.__gram").alias("__gram"), salt)
+    dealt = held.withColumn("__salt", F.pmod(F.xxhash64("__subject"), F.lit(SALTS)).cast("int"))
     return (
-        wild.join(heads, [*keys, "__head"])
+        wanted.join(dealt, [*keys, "__gram", "__salt"])
         .where(F.expr("__subject ILIKE __pattern"))
         .select(*keys, "__subject", "__pattern")
     )
