@@ -1,19 +1,21 @@
 """Documents whose sets of word shingles are alike: a Jaccard join by prefixes of token combinations, and its components.
 
-A set x of n shingles that reaches the threshold with another lacks at most s = n - ceil(percent n / 100) of the other's.  All
-shingles are ordered from rare to frequent.  A prefix of x is long enough when, whatever s of its shingles are lacking, some
-class keeps as many as it combines: rare shingles stand alone (k = 1); frequent ones count in combinations of k = 2, very
-frequent ones of k = 3, within cells of a few shingles each, and each cell lengthens the prefix by k - 1.  Of two sets, the one
-whose prefix ends first thus has a combination in common with the other's prefix, and only sets that meet in a combination
-are compared.  Sizes of alike sets differ by less than the threshold, so sets are indexed by bands of size, each with its
-neighbour; the number of cells follows from the band.
+Of two sets that reach the threshold the larger one, of n shingles, has at most n - ceil(percent n / 100) that the other lacks,
+and the smaller one at most n - ceil(2 percent n / (100 + percent)).  All shingles are ordered from rare to frequent.  A prefix
+is long enough when, whatever shingles of that number are lacking, some class keeps as many as it combines: rare shingles
+stand alone (k = 1); frequent ones count in combinations of k = 2, very frequent ones of k = 3, within cells of a few
+shingles each, and each cell lengthens the prefix by k - 1.  Of two sets, the one whose prefix ends first thus has a combination
+in common with the other's prefix, and only sets that meet in one, the one as the smaller and the other as the larger, are
+compared.  Sizes of alike sets differ by less than the threshold, so sets are indexed by bands of size: under their own as
+the larger, under their own and the next as the smaller; the number of cells follows from the band.
 
 How often a shingle occurs is counted by hash buckets; shingles that occur once are dropped there, and they use up s: a set
 with more than s of them has no partner and is not indexed at all.  A shingle that very many documents of one task share
 is sent once with a mark instead of with each of them.
 
-Sets that meet are compared with pivots first, the ones with the fewest shingles of their own; what is in one component already
-is not compared again.  So a large group of alike documents costs a comparison each, not one for each pair.
+Sets that meet are compared with a pivot first, the one with the fewest shingles of its own; what is in one component already
+is not compared again, nor what cannot reach the threshold by the numbers of shingles that both sets share with others.  So a
+large group of alike documents costs a comparison each, not one for each pair.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +38,7 @@ from fieldcast.session import send_with_tasks
 send_with_tasks(__name__)
 
 #: Occurrences in one task from which a shingle is marked instead of sent, and the most that is counted.
-MANY = 256
+MANY = 255
 #: Occurrences from which k shingles are combined.
 CLASSES = ((2, 16), (3, MANY))
 #: Shingles a task gathers before it deals them out; rows it may number within 16 bits.
@@ -46,6 +48,7 @@ BUCKET_CHARS = 8_000_000
 #: Sets that meet in one combination and are compared with one another at once; more meet pivots first.
 FEW = 32
 ODD = 0x9E3779B97F4A7C15
+SMALL, LARGE = 1, 2
 
 
 class WordHashes(dict):
@@ -80,10 +83,15 @@ class Shingles:
 
 
 def slack(n: int, percent: int) -> int:
-    """How many of n shingles a set that is alike may lack."""
+    """How many of its n shingles the larger of two sets that are alike may have alone."""
     return n - -(-percent * n // 100)
 
 
+def small_slack(n: int, percent: int) -> int:
+    """The same for the smaller one."""
+    return n - -(-2 * percent * n // (100 + percent))
+
+
 def band(n: int, percent: int) -> int:
     return int(math.log(n) / _width(percent))
 
@@ -98,26 +106,29 @@ def cells(group: int, percent: int) -> int:
     return 0 if least < 8 or percent < 60 else max(1, (slack(least, percent) + 1) // 3)
 
 
-def signatures(tokens: list[int], counts: list[int], n: int, percent: int) -> set[int]:
-    """Combinations of a set's prefix in both of its band's groups.
+def signatures(tokens: list[int], counts: list[int], n: int, percent: int) -> dict[int, int]:
+    """Combinations of a set's prefixes, as the SMALL one, as the LARGE one or both.
 
     ``tokens`` are the shared ones by rising (count, token); the other n - len(tokens) occur nowhere else.
     """
-    made = set()
-    for group in (band(n, percent), band(n, percent) + 1):
-        n_cells, need = cells(group, percent), slack(n, percent) + 1 - (n - len(tokens))
+    made: dict[int, int] = {}
+    lone, own = n - len(tokens), band(n, percent)
+    for group, large in ((own, slack(n, percent) + 1 - lone), (own + 1, 0)):
+        small = small_slack(n, percent) + 1 - lone
+        n_cells, got = cells(group, percent), 0
         held: dict[tuple[int, int], list[int]] = {}
         for token, count in zip(tokens, counts, strict=True):
-            if need <= 0:
+            role = SMALL * (got < small) | LARGE * (got < large)
+            if not role:
                 break
             k = max((k for k, least in CLASSES if count >= least), default=1) if n_cells else 1
             cell = held.setdefault((k, token % n_cells if k > 1 else 0), [])
-            others = combinations(cell, k - 1) if k > 1 else ((),)
-            made.update(hash((group, *rest, token)) for rest in others)
+            for rest in combinations(cell, k - 1) if k > 1 else ((),):
+                made[hash((group, *rest, token))] = role
             if k > 1:
                 cell.append(token)
-            need -= k == 1 or len(cell) >= k
-        if need > 0:
+            got += k == 1 or len(cell) >= k
+        if got < max(small, large):
             raise AssertionError("prefix too short for the threshold")
     return made
 
@@ -225,7 +236,7 @@ def _with_counts(source: DataFrame, n_kept: int, words: int, percent: int, bucke
         rest = table.filter(pa.array(kinds != DOCUMENT))
         block = table.column("block")[0].as_py()
         tokens, rows, counts = (
-            np.frombuffer(b"".join(rest.column(c).to_pylist()), kind) for c, kind in (("tokens", "<u8"), ("rows", "<u2"), ("counts", "<u2"))
+            np.frombuffer(b"".join(rest.column(c).to_pylist()), kind) for c, kind in (("tokens", "<u8"), ("rows", "<u2"), ("counts", "u1"))
         )
         order = np.lexsort((tokens, counts, rows))
         tokens, rows, counts = tokens[order].view(np.int64), rows[order], counts[order]
@@ -273,7 +284,7 @@ def _dealt(held: list[tuple[int, np.ndarray]], block: int, buckets: int) -> list
 
 def _counted(parts: list[dict]) -> list[dict]:
     """The shingles of a bucket that occur more than once, by block, with the number of rows that have them (MANY at most)."""
-    out = [p | {"counts": np.full(len(p["rows"]) // 2, MANY, "<u2").tobytes()} for p in parts if p["kind"] == MARKED]
+    out = [p | {"counts": np.full(len(p["rows"]) // 2, MANY, "u1").tobytes()} for p in parts if p["kind"] == MARKED]
     single = [p for p in parts if p["kind"] == SINGLE]
     if not single:
         return out
@@ -287,7 +298,7 @@ def _counted(parts: list[dict]) -> list[dict]:
     sizes = np.diff(np.append(starts, len(ordered)))
     total = np.minimum(sizes, MANY)
     total[np.isin(ordered[starts], marks)] = MANY
-    counts = np.empty(len(tokens), "<u2")
+    counts = np.empty(len(tokens), "u1")
     counts[order] = np.repeat(total, sizes)
     shared = np.flatnonzero(counts > 1)
     shared = shared[np.argsort(blocks[shared], kind="stable")]
@@ -301,52 +312,58 @@ def _counted(parts: list[dict]) -> list[dict]:
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Enough links (src, dst: row) between different sets for the components to be those of all links.
 
-    Sets that meet in a combination are compared: all pairs where few meet, else with 1, 2, 4, ... pivots in one round after the
-    other, until those that meet are in one component or have been compared.
+    Sets that meet in a combination are compared with 1, 2, 4, ... pivots in one round after the other, and all with all
+    where few are left, until those that meet are in one component or have been compared.
     """
+    names = ["sig", "row", "n", "shared", "role"]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made, rows, sizes, own = [], [], [], []
+            made: list[list[int]] = [[], [], [], [], []]
             for row, n, tokens, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = signatures(tokens, counts, n, percent)
-                made += found
-                rows += [row] * len(found)
-                sizes += [n] * len(found)
-                own += [(n - len(tokens)) / n] * len(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(made, pa.int64()), pa.array(rows, pa.int64()), pa.array(sizes, pa.int64()), pa.array(own, pa.float64())],
-                names=["sig", "row", "n", "own"],
-            )
-
-    signed = stored(sets.mapInArrow(sign, "sig long, row long, n long, own double"), "jaccard-signatures")
+                for column, values in zip(made, (found, [row] * len(found), [n] * len(found), [len(tokens)] * len(found), found.values()), strict=True):
+                    column += values
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=names)
+
+    signed = stored(sets.mapInArrow(sign, ", ".join(f"{c} long" for c in names)), "jaccard-signatures")
     meets = signed.groupBy("sig").agg(F.count("*").alias("size")).where("size > 1")
-    now = stored(signed.join(stored(meets, "jaccard-meets"), "sig"), "jaccard-index")
+    now = signed.join(stored(meets, "jaccard-meets"), "sig").withColumn("root", F.col("row"))
+    now = stored(now, "jaccard-index")
     links, turn = [], 0
-    while not now.isEmpty():
-        key = F.struct("own", F.col("row").alias("p"), F.col("n").alias("p_n"))
-        few = now["size"] <= FEW
-        salt = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(1 << min(turn, 30)))
-        chosen = now.where(~few).groupBy("sig", salt.alias("salt")).agg(F.min(key).alias("pivot")).select("sig", "pivot.p", "pivot.p_n")
-        chosen = stored(chosen, "jaccard-pivots")
-        pivots = stored(chosen.union(now.where(few).select("sig", "row", "n")), "jaccard-pivots")
-        met = now.join(pivots, "sig").where((F.col("row") > F.col("p")) | (~few & (F.col("row") < F.col("p"))))
-        if turn:
-            p_root = F.coalesce("p_root", "p")
-            met = met.join(roots.select(F.col("node").alias("p"), F.col("root").alias("p_root")), "p", "left").where(p_root != F.col("root"))
-        met = met.where(F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent)
-        pair = met.select(F.greatest("row", "p").alias("src"), F.least("row", "p").alias("dst")).distinct()
+    fields = ("row", "n", "shared", "role", "root")
+    while True:
+        few = (F.col("size") <= FEW) & F.lit(turn > 0)
+        salt = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(1 << min(turn, 30))).alias("salt")
+        key = F.struct(((F.col("n") - F.col("shared")) / F.col("n")).alias("own"), *fields)
+        chosen = now.where(~few).groupBy("sig", salt).agg(F.min(key).alias("p"))
+        chosen = stored(chosen.select("sig", *(F.col(f"p.{c}").alias(f"p_{c}") for c in fields)), "jaccard-pivots")
+        every = now.where(few).select("sig", *(F.col(c).alias(f"p_{c}") for c in fields))
+        pivots = stored(chosen.union(every), "jaccard-pivots")
+        pair = now.join(pivots, ["sig"]).where(_may_link(percent) & (few & (F.col("row") > F.col("p_row")) | ~few & (F.col("row") != F.col("p_row"))))
+        pair = pair.select(F.greatest("row", "p_row").alias("src"), F.least("row", "p_row").alias("dst")).distinct()
         links.append(stored(_alike(stored(pair, "jaccard-pairs"), sets, percent), "jaccard-links"))
         if chosen.isEmpty():
-            break
-        left = now.where(~few).select("sig", "row", "n", "own").join(chosen.select("sig", F.col("p").alias("row")), ["sig", "row"], "left_anti")
-        roots = stored(components(_all(links), "jaccard-stars"), "jaccard-roots")
+            return _all(links)
+        roots = components(_all(links), "jaccard-stars")
+        used = chosen.select("sig", F.col("p_row").alias("row"))
+        left = now.where(~few).drop("root", "size").join(used, ["sig", "row"], "left_anti")
         left = left.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
         left = stored(left, "jaccard-left")
         apart = left.groupBy("sig").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
         now = stored(left.join(stored(apart.select("sig", "size"), "jaccard-meets"), "sig"), "jaccard-index")
         turn += 1
-    return _all(links) if links else sets.select(F.col("row").alias("src"), F.col("row").alias("dst")).where("false")
+
+
+def _may_link(percent: int) -> Column:
+    """Whether a set and a pivot that meet may reach the threshold at all, and are not in one component yet."""
+    n, m, role, of = F.col("n"), F.col("p_n"), F.col("role"), F.col("p_role")
+    roles = ((n <= m) & (role.bitwiseAND(SMALL) > 0) & (of.bitwiseAND(LARGE) > 0)) | (
+        (m <= n) & (of.bitwiseAND(SMALL) > 0) & (role.bitwiseAND(LARGE) > 0)
+    )
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    most = F.least("shared", "p_shared") * (100 + percent) >= (n + m) * percent
+    return roles & sizes & most & (F.col("root") != F.col("p_root"))
 
 
 def _all(links: list[DataFrame]) -> DataFrame:
