@@ -91,6 +91,7 @@ def deployments_by_deployment(t: Tables) -> DataFrame:
             "deployed_tbs": "talkingbookid",
         },
         lists={"deployment": "deployment"},
+        spread="talkingbookid",
     ).select(
         "project", "deployment", "deploymentnumber", "startdate", "enddate", "num_packages", "num_languages",
         "num_communities", "num_recipients", "deployed_tbs",

@@ -38,14 +38,16 @@ COUNTERS = {
 @mart
 def filter_played_events(t: Tables) -> DataFrame:
     """Events that count as a play."""
-    return t["playedevents"].where(
-        (F.col("timeplayed") >= MIN_SECONDS) & (F.col("totaltime") > 0) & (F.col("contentid") != IGNORED_CONTENT)
-    )
+    return t["playedevents"].where(_counts())
 
 
-@mart
-def logstats_from_played_events(t: Tables) -> DataFrame:
-    """Plays per device and message, by how far they got.
+def _counts() -> Column:
+    """Whether an event counts as a play."""
+    return (F.col("timeplayed") >= MIN_SECONDS) & (F.col("totaltime") > 0) & (F.col("contentid") != IGNORED_CONTENT)
+
+
+def _played(of: Column) -> list[Column]:
+    """Seconds and plays by how far they got, of the events for which ``of`` holds.
 
     The class bounds leave small gaps, and exactly 10 remaining seconds is in no class: such
     plays count in no column.
@@ -55,22 +57,25 @@ def logstats_from_played_events(t: Tables) -> DataFrame:
     broken_off = (remaining > END_MARGIN_SECONDS) & ~F.col("isfinished")
 
     def plays(condition: Column) -> Column:
-        return F.sum(F.when(condition, 1).otherwise(0))
+        return F.sum(F.when(of, F.when(condition, 1).otherwise(0)))
 
     classes = [
         plays(done.between(low, high) & broken_off).alias(name) for name, (low, high) in PLAY_CLASSES.items()
     ]
     completed = (done > COMPLETED_ABOVE) | (remaining < END_MARGIN_SECONDS) | F.col("isfinished")
-    return (
-        t["filter_played_events"]
-        .groupBy("packageid", "village", "talkingbookid", "contentid", "totaltime")
-        .agg(
-            F.sum("timeplayed").alias("timeplayed"),
-            plays((done < STARTED_BELOW) & broken_off).alias("started"),
-            *classes,
-            plays(completed).alias("completed"),
-        )
-    )
+    return [
+        F.sum(F.when(of, F.col("timeplayed"))).alias("timeplayed"),
+        plays((done < STARTED_BELOW) & broken_off).alias("started"),
+        *classes,
+        plays(completed).alias("completed"),
+    ]
+
+
+@mart
+def logstats_from_played_events(t: Tables) -> DataFrame:
+    """Plays per device and message, by how far they got."""
+    by = ["packageid", "village", "talkingbookid", "contentid", "totaltime"]
+    return t["filter_played_events"].groupBy(*by).agg(*_played(F.lit(True)))
 
 
 @mart
@@ -96,21 +101,42 @@ def _num(text: str) -> Column:
 def allsources(t: Tables) -> DataFrame:
     """One row per key with the counters of all four sources beside each other.
 
-    The four optional sources join first: all of them, and the keys, are hashed on the same
-    four columns, so each input moves once.  Village and content metadata, which multiply
-    rows, come last.
+    The sources lie one below the other, each row with its counters under the name of its source, and meet in one
+    aggregate on the four key columns: each fact is read once.  A source that has several rows of a key multiplies it, as
+    outer joins would; rows with a NULL in the key make a key of their own and match nothing.  Village and content
+    metadata, which multiply rows, come last.
     """
-    wide = t["played_keys"]
-    events = t["logstats_from_played_events"].select(
-        F.col("packageid").alias("contentpackage"), "village", F.col("talkingbookid").alias("talkingbook"), "contentid",
-        F.col("timeplayed").alias("l_seconds"), *[F.col(c).alias(f"l_{c}") for c in COUNTERS if c != "seconds"],
+    complete = F.lit(True)
+    for key in KEYS:
+        complete = complete & F.col(key).isNotNull()
+    kind = "struct<" + ",".join(f"{name}:bigint" for name in COUNTERS) + ">"
+    sources = ("l", "s1", "s2", "s3")
+
+    def tagged(rows: DataFrame, counters: dict[str, Column]) -> DataFrame:
+        """Keys and one struct for each source, null but for the source a row is of."""
+        none = F.lit(None).cast(kind)
+        sides = [F.when(complete & counters[s], F.col("counters")).otherwise(none).alias(s) if s in counters else none.alias(s) for s in sources]
+        return rows.select(*KEYS, *sides)
+
+    counts = _counts()
+    events = (
+        t["playedevents"]
+        .withColumnsRenamed({"packageid": "contentpackage", "talkingbookid": "talkingbook"})
+        .groupBy(*KEYS, "totaltime")
+        .agg(F.count_if(counts).alias("plays"), *_played(counts))
+        .withColumnRenamed("timeplayed", "seconds")
+    )
+    events = events.withColumn("counters", F.struct(*[F.col(name).cast("bigint").alias(name) for name in COUNTERS]))
+    synced = t["syncaggregation"].withColumn(
+        "counters", F.struct(*[F.col(column).cast("bigint").alias(name) for name, column in COUNTERS.items()])
+    )
+    rows = tagged(events, {"l": F.col("plays") > 0}).unionByName(
+        tagged(synced, {f"s{n}": F.col("datasource") == n for n in (1, 2, 3)})
     )
-    wide = wide.join(events, KEYS, "left")
-    for source in (1, 2, 3):
-        counters = t["syncaggregation"].where(F.col("datasource") == source).select(
-            *KEYS, *[F.col(column).cast("bigint").alias(f"s{source}_{name}") for name, column in COUNTERS.items()]
-        )
-        wide = wide.join(counters, KEYS, "left")
+    wide = rows.groupBy(*KEYS).agg(*[F.collect_list(s).alias(s) for s in sources])
+    for s in sources:
+        wide = wide.withColumn(s, F.explode_outer(s))
+    wide = wide.select(*KEYS, *[F.col(f"{s}.{name}").alias(f"{s}_{name}") for s in sources for name in COUNTERS])
     villages = t["communities"].select("project", F.col("communityname").alias("village"))
     lengths = t["contentmetadata2"].select("project", "contentid", "duration_sec")
     wide = wide.join(villages, "village").join(lengths, ["project", "contentid"])
