@@ -61,6 +61,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_root(spark), "fieldcast", f"{label}-{uuid.uuid4().hex}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def send_with_tasks(module: str) -> None:
     """Send a module's functions along with the tasks that call them, so executors need not have the package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -135,3 +135,112 @@ def test_old_versions_are_removed(spark, tmp_path):
     assert sorted(r.id for r in table.read().collect()) == [4, 9]
     assert len(list((tmp_path / "t" / "data" / "lot=x").iterdir())) == 1
     assert table.read(["z"]) is None
+
+
+def test_a_commit_that_died_halfway_blocks_nobody(spark, tmp_path):
+    table = CommittedTable(spark, str(tmp_path / "t"), orphan_hours=24)
+    table.commit(spark.range(3).withColumn("p", F.lit("x")), "p")
+    (tmp_path / "t" / "commits" / "000000000002" / "_temporary").mkdir(parents=True)
+    assert table.commits() == [1]
+    assert table.commit(spark.range(5, 6).withColumn("p", F.lit("y")), "p") == 3
+    assert sorted(r.id for r in table.read().collect()) == [0, 1, 2, 5]
+    assert (tmp_path / "t" / "commits" / "000000000002").exists()  # its writer may be at work
+    CommittedTable(spark, str(tmp_path / "t"), orphan_hours=-1).commit(spark.range(7, 8).withColumn("p", F.lit("y")), "p")
+    assert not (tmp_path / "t" / "commits" / "000000000002").exists()
+
+
+def test_versions_of_dead_writers_go(spark, tmp_path):
+    table = CommittedTable(spark, str(tmp_path / "t"), orphan_hours=-1)
+    table.commit(spark.range(3).withColumn("p", F.lit("x")), "p")
+    table.write(spark.range(9).withColumn("p", F.lit("x")), "p")  # and dies
+    assert len(list((tmp_path / "t" / "data" / "lot=x").iterdir())) == 2
+    table.commit(spark.range(1).withColumn("p", F.lit("y")), "p")
+    assert len(list((tmp_path / "t" / "data" / "lot=x").iterdir())) == 1 and table.read().count() == 4
+
+
+def test_a_writer_that_was_overtaken_fails(spark, tmp_path):
+    one, two = (CommittedTable(spark, str(tmp_path / "t")) for _ in range(2))
+    one.commit(spark.range(1))
+    slow = one.write(spark.range(2))
+    two.commit(spark.range(3))
+    with pytest.raises(RuntimeError, match="in between"):
+        one.publish(slow, {("all", v) for v in one.segments()["all"]})
+    assert two.read().count() == 3 and two.commits() == [1, 2]
+
+
+def test_parts_of_any_name(spark, tmp_path):
+    names = ["a/b", "a=b", "a:b", "", None, "_null_", "a_b", "a b", "é", "2020-01-01", "%41", "a"]
+    table = CommittedTable(spark, str(tmp_path / "t"))
+    frame = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "p string, k int")
+    table.commit(frame, "p")
+    assert set(table.versions()) == set(names)
+    assert {r.p: r.k for r in table.read().collect()} == dict(zip(names, range(len(names)), strict=True))
+    for k, n in enumerate(names):
+        assert [r.k for r in table.read([n]).collect()] == [k]
+    table.commit(frame.where("p = 'a:b'").withColumn("k", F.lit(99)), "p", replaced=["a/b"])
+    assert sorted(r.k for r in table.read().collect()) == [*(k for k in range(1, 12) if k != 2), 99]
+
+
+def test_the_merge_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    frame = spark.range(10).withColumn("p", F.lit("x")).mapInArrow(count, "id long, p string")
+    CommittedTable(spark, str(tmp_path / "t")).commit(frame, "p")
+    assert seen.value == 10
+
+
+def test_only_changed_periods_are_derived_again(spark, tmp_path):
+    source, target = str(tmp_path / "plays"), str(tmp_path / "usage")
+    facts = CommittedTable(spark, source)
+    rows = lambda *days: spark.createDataFrame(
+        [(f"2020-01-{d:02d} 10:00:00", d * 10 + k, v) for d, v in days for k in range(3)], "t string, k int, v int"
+    ).selectExpr("cast(t as timestamp_ntz) as timestamp", "k", "v", f"substring(t, 1, 10) as {ingest.PERIOD}")
+    build = lambda frame: frame.select("timestamp", "k", (F.col("v") * 2).alias("twice"))
+    refresh = lambda **more: ingest.refresh_periods(spark, source, target, build, **more)
+    state = lambda: sorted((r.k, r.twice) for r in ingest.read_periods(spark, target).collect())
+    full = lambda: sorted((r.k, r.twice) for r in build(facts.read()).collect())
+
+    facts.commit(rows((1, 1), (2, 1), (3, 1)), ingest.PERIOD)
+    assert refresh() == {"2020-01-01", "2020-01-02", "2020-01-03"} and state() == full()
+    before = CommittedTable(spark, target).versions()
+    assert refresh() == set()
+    facts.commit(rows((2, 5)), ingest.PERIOD)
+    assert refresh() == {"2020-01-02"} and state() == full() and (20, 10) in state()
+    after = CommittedTable(spark, target).versions()
+    assert {p for p in after if after[p] != before[p]} == {"2020-01-02"}
+    facts.commit(rows((4, 1)), ingest.PERIOD, replaced=["2020-01-01"])
+    assert refresh() == {"2020-01-01", "2020-01-04"} and state() == full() and len(state()) == 9
+    for k in range(4):
+        facts.commit(rows((3, k)), ingest.PERIOD)  # the commit the target was made from is no longer kept
+    assert len(refresh()) == 3 and state() == full()
+    assert len(refresh(whole=True)) == 3 and state() == full()
+
+
+def test_a_replayed_file_rewrites_nothing(spark, tmp_path):
+    inbox, table = tmp_path / "inbox", str(tmp_path / "table")
+    people = spark.createDataFrame([("P", "HERE", "r1")], "project string, directory string, recipientid string")
+    commits = lambda: CommittedTable(spark, table).commits()[-1]
+
+    def arrive(folder, name, *lines, **more):
+        (inbox / folder).mkdir(parents=True, exist_ok=True)
+        (inbox / folder / name).write_text("\n".join(lines) + "\n")
+        ingest.ingest_incremental(spark, str(inbox), table, people, str(tmp_path / "checkpoint"), **more)
+        return sorted((r.contentid, r.completed) for r in ingest.read_periods(spark, table).collect())
+
+    line = lambda c, n: LINE.format(ts="20210105T100000.000Z", c=c, n=n)
+    assert arrive("one", "a.kvp", line("c1", 1), line("c2", 2)) == [("c1", 1), ("c2", 2)]
+    first = commits()
+    assert arrive("two", "a.kvp", line("c1", 1), line("c2", 2)) == [("c1", 1), ("c2", 2)]
+    assert commits() == first  # nothing new came
+    assert arrive("three", "a.kvp", line("c1", 1), line("c3", 3)) == [("c1", 1), ("c2", 2), ("c3", 3)]
+    second = commits()
+    assert second == first + 1
+    # a file of another name is no replay: its lines go through the merge, and a very old day does too
+    old = LINE.format(ts="19990105T100000.000Z", c="c1", n=8)
+    assert arrive("four", "b.kvp", line("c1", 7), old) == [("c1", 7), ("c1", 8), ("c2", 2), ("c3", 3)]
+    assert commits() == second + 1
