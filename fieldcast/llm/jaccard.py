@@ -45,8 +45,9 @@ CLASSES = ((2, 16), (3, MANY))
 BLOCK, BLOCK_ROWS = 2_000_000, 60_000
 #: Characters of text for each hash bucket.
 BUCKET_CHARS = 8_000_000
-#: Sets that meet in one combination and are compared with one another at once; more meet pivots first.
-FEW = 32
+#: Sets outside a component that are compared with all others they meet at once; more meet further pivots first.
+FEW = 2000
+SIGNATURES_AT_ONCE = 20_000
 ODD = 0x9E3779B97F4A7C15
 SMALL, LARGE = 1, 2
 
@@ -312,58 +313,98 @@ def _counted(parts: list[dict]) -> list[dict]:
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Enough links (src, dst: row) between different sets for the components to be those of all links.
 
-    Sets that meet in a combination are compared with 1, 2, 4, ... pivots in one round after the other, and all with all
-    where few are left, until those that meet are in one component or have been compared.
+    Sets that meet in a combination are compared with 1, 2, 4, ... pivots in one round after the other.  After each round
+    meetings within one component are over; where at most FEW sets lie outside the largest component, these are
+    compared with all they may have met, which is once for all combinations that they share.
     """
     names = ["sig", "row", "n", "shared", "role"]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: list[list[int]] = [[] for _ in names]
         for batch in batches:
-            made: list[list[int]] = [[], [], [], [], []]
-            for row, n, tokens, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for at in range(batch.num_rows):  # a set at a time: its shingles as Python numbers take many times their room
+                row, n, tokens, counts = (c[at].as_py() for c in batch.columns)
                 found = signatures(tokens, counts, n, percent)
                 for column, values in zip(made, (found, [row] * len(found), [n] * len(found), [len(tokens)] * len(found), found.values()), strict=True):
                     column += values
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=names)
+                if len(made[0]) > SIGNATURES_AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=names)
+                    made = [[] for _ in names]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=names)
 
     signed = stored(sets.mapInArrow(sign, ", ".join(f"{c} long" for c in names)), "jaccard-signatures")
-    meets = signed.groupBy("sig").agg(F.count("*").alias("size")).where("size > 1")
+    meets = signed.groupBy("sig").agg(F.count("*").alias("size")).where("size > 1").select("sig")
     now = signed.join(stored(meets, "jaccard-meets"), "sig").withColumn("root", F.col("row"))
     now = stored(now, "jaccard-index")
     links, turn = [], 0
-    fields = ("row", "n", "shared", "role", "root")
     while True:
-        few = (F.col("size") <= FEW) & F.lit(turn > 0)
+        fields = ("row", "n", "shared", "role", "root")
         salt = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(1 << min(turn, 30))).alias("salt")
         key = F.struct(((F.col("n") - F.col("shared")) / F.col("n")).alias("own"), *fields)
-        chosen = now.where(~few).groupBy("sig", salt).agg(F.min(key).alias("p"))
+        chosen = now.groupBy("sig", salt).agg(F.min(key).alias("p"))
         chosen = stored(chosen.select("sig", *(F.col(f"p.{c}").alias(f"p_{c}") for c in fields)), "jaccard-pivots")
-        every = now.where(few).select("sig", *(F.col(c).alias(f"p_{c}") for c in fields))
-        pivots = stored(chosen.union(every), "jaccard-pivots")
-        pair = now.join(pivots, ["sig"]).where(_may_link(percent) & (few & (F.col("row") > F.col("p_row")) | ~few & (F.col("row") != F.col("p_row"))))
-        pair = pair.select(F.greatest("row", "p_row").alias("src"), F.least("row", "p_row").alias("dst")).distinct()
-        links.append(stored(_alike(stored(pair, "jaccard-pairs"), sets, percent), "jaccard-links"))
-        if chosen.isEmpty():
-            return _all(links)
+        links.append(_linked(now.join(chosen, ["sig"]).where(_may_link(percent) & _roles()), sets, percent))
+
         roots = components(_all(links), "jaccard-stars")
-        used = chosen.select("sig", F.col("p_row").alias("row"))
-        left = now.where(~few).drop("root", "size").join(used, ["sig", "row"], "left_anti")
+        left = now.drop("root").join(chosen.select("sig", F.col("p_row").alias("row")), ["sig", "row"], "left_anti")
         left = left.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
         left = stored(left, "jaccard-left")
-        apart = left.groupBy("sig").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
-        now = stored(left.join(stored(apart.select("sig", "size"), "jaccard-meets"), "sig"), "jaccard-index")
+        left = stored(_apart(left).drop("major"), "jaccard-left")
+        left = stored(_apart(_still_shared(left, sets, percent)), "jaccard-left")
+        if left.isEmpty():
+            return _all(links)
+        # meetings with one largest component are looked at together; the few outside it are compared with all of them
+        fields = ("row", "n", "shared", "root")
+        gathered = stored(left.select("major", *fields).distinct(), "jaccard-gathered")
+        outside = gathered.where("root <> major")
+        settled = outside.groupBy("major").agg(F.count("*").alias("outside")).where(F.col("outside") <= FEW).select("major")
+        settled = stored(settled, "jaccard-settled")
+        few = stored(outside.join(settled, "major").select("major", *(F.col(c).alias(f"p_{c}") for c in fields)), "jaccard-few")
+        once = (F.col("root") == F.col("major")) | (F.col("row") > F.col("p_row"))
+        links.append(_linked(gathered.join(few, ["major"]).where(_may_link(percent) & once), sets, percent))
+        now = stored(left.join(settled, "major", "left_anti").drop("major"), "jaccard-index")
+        if now.isEmpty():
+            return _all(links)
         turn += 1
 
 
+def _apart(left: DataFrame) -> DataFrame:
+    """The meetings of sets in several components, each with the largest of these as ``major``."""
+    by_root = left.groupBy("sig", "root").agg(F.count("*").alias("c"))
+    major = by_root.groupBy("sig").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots"))
+    return left.join(stored(major.where("roots > 1").select("sig", F.col("m.root").alias("major")), "jaccard-meets"), "sig")
+
+
+def _still_shared(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``left`` with ``shared`` counting only shingles that sets of several of its components have.
+
+    No set outside a set's component can have more than these in common with it; a set with too few of them is done.
+    """
+    rows = left.select("row", "root").distinct().join(sets.select("row", "tokens"), "row")
+    held = stored(rows.select("row", "root", F.explode("tokens").alias("token")), "jaccard-shingles")
+    across = held.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("token")
+    shared = held.join(stored(across, "jaccard-across"), "token").groupBy("row").agg(F.count("*").alias("shared"))
+    return left.drop("shared").join(stored(shared, "jaccard-shared"), "row").where(F.col("shared") * 100 >= F.col("n") * percent)
+
+
+def _linked(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    pair = met.select(F.greatest("row", "p_row").alias("src"), F.least("row", "p_row").alias("dst")).distinct()
+    return stored(_alike(stored(pair, "jaccard-pairs"), sets, percent), "jaccard-links")
+
+
 def _may_link(percent: int) -> Column:
-    """Whether a set and a pivot that meet may reach the threshold at all, and are not in one component yet."""
-    n, m, role, of = F.col("n"), F.col("p_n"), F.col("role"), F.col("p_role")
-    roles = ((n <= m) & (role.bitwiseAND(SMALL) > 0) & (of.bitwiseAND(LARGE) > 0)) | (
-        (m <= n) & (of.bitwiseAND(SMALL) > 0) & (role.bitwiseAND(LARGE) > 0)
-    )
+    """Whether a set and another may reach the threshold by their numbers, and are not in one component yet."""
+    n, m = F.col("n"), F.col("p_n")
     sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     most = F.least("shared", "p_shared") * (100 + percent) >= (n + m) * percent
-    return roles & sizes & most & (F.col("root") != F.col("p_root"))
+    return sizes & most & (F.col("root") != F.col("p_root")) & (F.col("row") != F.col("p_row"))
+
+
+def _roles() -> Column:
+    """Whether the smaller of two sets that meet does so as the smaller one, and the other as the larger."""
+    n, m, role, of = F.col("n"), F.col("p_n"), F.col("role"), F.col("p_role")
+    first = (n <= m) & (role.bitwiseAND(SMALL) > 0) & (of.bitwiseAND(LARGE) > 0)
+    return first | ((m <= n) & (of.bitwiseAND(SMALL) > 0) & (role.bitwiseAND(LARGE) > 0))
 
 
 def _all(links: list[DataFrame]) -> DataFrame:
