@@ -78,9 +78,17 @@ def truncate(table: DataFrame) -> DataFrame:
     return table.limit(0)
 
 
+def truncate_stored(table: "VersionedTable") -> DataFrame:
+    """Empty a stored table by a commit of its own."""
+    return table.replace(truncate(table.read()))
+
+
 def normalize_case(table: DataFrame, name: str) -> DataFrame:
-    """Upper-case the name columns of a table (no change for tables without any)."""
-    columns = [c for c in UPPER_CASE_COLUMNS.get(name, []) if c in table.columns]
+    """Upper-case the name columns of a table (no change for tables without any); a table that lacks one of them is an error."""
+    columns = UPPER_CASE_COLUMNS.get(name, [])
+    absent = [c for c in columns if c not in table.columns]
+    if absent:
+        raise KeyError(f"{name} lacks {', '.join(absent)}")
     return table.withColumns({c: F.upper(c) for c in columns}) if columns else table
 
 

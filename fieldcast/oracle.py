@@ -477,6 +477,7 @@ ORACLE: dict[str, str] = {
     "usage_info_base_view": sql("FROM x_base", "x_base"),
     "usage_info": sql("FROM x_usage", "x_usage"),
     "refresh_usage_info": sql("FROM x_usage", "x_usage"),
+    "refresh_usage_info_periods": sql("FROM x_usage", "x_usage"),
     "package_tbs_used": sql("FROM x_used", "x_used"),
     "twbx_info": sql(
         """SELECT r.project, u.talkingbookid AS "TB", u.deploymentnumber AS "Deployment #", u.region AS "Region", u.district AS "District",
@@ -629,6 +630,9 @@ ORACLE: dict[str, str] = {
         f""", b AS (SELECT * REPLACE ('batch' AS username) FROM tbsdeployed WHERE action = 'update-fw')
            SELECT * FROM tbsdeployed WHERE (talkingbookid, deployedtimestamp) NOT IN (SELECT (talkingbookid, deployedtimestamp) FROM b)
            UNION ALL {_first('b', 'talkingbookid, deployedtimestamp', _DEPLOYED_ORDER)}""", "tbsdeployed"),
+    "merge_tbsdeployed_stored": sql(
+        f""", r AS ({_first('tbsdeployed', 'talkingbookid, deployedtimestamp', _DEPLOYED_ORDER)})
+           SELECT * REPLACE (CASE WHEN action = 'update-fw' THEN 'batch' ELSE username END AS username) FROM r""", "tbsdeployed"),
     "insert_ignore": sql(
         """SELECT * REPLACE (CASE WHEN deploymentnumber = 1 THEN 'first' ELSE language END AS language) FROM uf_messages WHERE bundle_uuid IS NULL""", "uf_messages"),
     "upsert": sql(
@@ -636,6 +640,11 @@ ORACLE: dict[str, str] = {
            b AS ({_first('(FROM tbsdeployed WHERE testing)', 'talkingbookid, deployedtimestamp', _DEPLOYED_ORDER.replace(' firmware,', ''))})
            SELECT s.* FROM s ANTI JOIN b USING (talkingbookid, deployedtimestamp)
            UNION ALL BY NAME SELECT b.* REPLACE (concat('new ', b.username) AS username, s.firmware AS firmware) FROM b JOIN s USING (talkingbookid, deployedtimestamp)""", "tbsdeployed"),
+    "upsert_stored": sql(
+        f""", s AS ({_first('tbsdeployed', 'talkingbookid, deployedtimestamp', _DEPLOYED_ORDER)}),
+           b AS ({_first('(FROM tbsdeployed WHERE testing)', 'talkingbookid, deployedtimestamp', _DEPLOYED_ORDER.replace(' firmware,', ''))})
+           SELECT s.* FROM s ANTI JOIN b USING (talkingbookid, deployedtimestamp)
+           UNION ALL BY NAME SELECT b.* REPLACE (concat('new ', b.username) AS username, s.firmware AS firmware) FROM b JOIN s USING (talkingbookid, deployedtimestamp)""", "tbsdeployed"),
     "normalize_case": sql("SELECT * REPLACE (upper(outimage) AS outimage, upper(inimage) AS inimage) FROM tbdataoperations", "tbdataoperations"),
     "backfill_descriptions": sql(
         "SELECT projectcode AS program, CASE WHEN id % 2 = 0 THEN 'kept' ELSE project END AS description FROM projects", "projects"),

@@ -163,6 +163,7 @@ def deployments_by_updateoperation(t: Tables) -> DataFrame:
 
 @mart
 def deployments_by_talkingbook(t: Tables) -> DataFrame:
+    """Deployed devices with recipient and deployment; ``coordinates`` only where the table has them, all else must be there."""
     people = t["recipients"].select(
         "recipientid", "partner", "affiliate", "communityname", "groupname", "country", "region", "district"
     )
@@ -173,7 +174,8 @@ def deployments_by_talkingbook(t: Tables) -> DataFrame:
         "recipientid", "deployedtimestamp", "project", "deployment", "deploymentnumber", "contentpackage", "firmware",
         "location", "coordinates", "username", "tbcdid", "action", "newsn", "testing",
     ]
-    return joined.select(*[c for c in wanted if c in joined.columns])
+    present = [c for c in wanted if c != "coordinates" or c in joined.columns]
+    return joined.select(*present)
 
 
 @mart

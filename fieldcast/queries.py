@@ -13,7 +13,9 @@ from fieldcast.bindings import domain_tables
 from fieldcast.functions import pg, text
 from fieldcast.functions.ids import uuid5
 from fieldcast.operators import lookup, merge
+from fieldcast.operators.commits import CommittedTable
 from fieldcast.operators.compare import report_diff
+from fieldcast.operators.keyed import KeyedTable
 from fieldcast.operators.names import ilike_join
 from fieldcast.plans import feedback, production, retired, serials
 from fieldcast.plans.deployments import latest_per_project
@@ -264,6 +266,33 @@ def merge_tbsdeployed(spark, sf_dir):
     return merge.merge_tbsdeployed(rows, batch, _DEPLOYED_ORDER)
 
 
+def _keyed_deployments(spark: SparkSession, rows: DataFrame) -> KeyedTable:
+    table = KeyedTable(spark, scratch_path(spark, "tbsdeployed"), merge.TBSDEPLOYED_KEYS, rows.columns, buckets=16, blocks=4)
+    table.replace(rows, _DEPLOYED_ORDER)
+    return table
+
+
+@query
+def merge_tbsdeployed_stored(spark, sf_dir):
+    """The same merge into a stored table, which reads and rewrites only the files that may hold a key of the batch."""
+    rows = merge.first_per_key(domain_tables(spark, sf_dir)["tbsdeployed"], merge.TBSDEPLOYED_KEYS, _DEPLOYED_ORDER)
+    table = _keyed_deployments(spark, rows)
+    table.replace(rows.where(F.col("action") == "update-fw").withColumn("username", F.lit("batch")), _DEPLOYED_ORDER)
+    return table.read()
+
+
+@query
+def upsert_stored(spark, sf_dir):
+    """The upsert into a stored table."""
+    rows = domain_tables(spark, sf_dir)["tbsdeployed"]
+    table = _keyed_deployments(spark, merge.first_per_key(rows, merge.TBSDEPLOYED_KEYS, _DEPLOYED_ORDER))
+    batch = (
+        rows.where(F.col("testing")).withColumn("username", F.concat(F.lit("new "), "username")).drop("firmware")
+    )
+    table.upsert(batch, [c for c in _DEPLOYED_ORDER if c != "firmware"])
+    return table.read()
+
+
 @query
 def insert_ignore(spark, sf_dir):
     messages = domain_tables(spark, sf_dir)["uf_messages"]
@@ -291,9 +320,35 @@ def refresh_usage_info(spark, sf_dir):
     return table.replace(domain_tables(spark, sf_dir)["usage_info"])
 
 
+@query
+def refresh_usage_info_periods(spark, sf_dir):
+    """usage_info by month: made whole, then a month of plays is corrected and only that month is made anew."""
+    t = domain_tables(spark, sf_dir)
+    root = scratch_path(spark, "usage-periods")
+    month = F.date_format("timestamp", ingest.MONTHLY)
+    plays = t["playstatistics"].withColumn(ingest.PERIOD, month)
+    facts = CommittedTable(spark, f"{root}/plays")
+    wrong = F.when(month == "1996-03", F.col("completed") + 1).otherwise(F.col("completed"))
+    facts.commit(plays.withColumn("completed", wrong), ingest.PERIOD)
+
+    def build(rows: DataFrame) -> DataFrame:
+        return t.with_table("playstatistics", rows)["usage_info"]
+
+    def refresh() -> set:
+        return ingest.refresh_periods(spark, f"{root}/plays", f"{root}/usage", build, period=ingest.MONTHLY)
+
+    refresh()
+    facts.commit(plays.where(month == "1996-03"), ingest.PERIOD)
+    refresh()
+    return ingest.read_periods(spark, f"{root}/usage").drop(ingest.PERIOD)
+
+
 @query
 def truncate_tables(spark, sf_dir):
-    return merge.truncate(domain_tables(spark, sf_dir)["tbcollections"])
+    """A stored table after a commit without rows; the commit before it is still there for readers that began earlier."""
+    table = merge.VersionedTable(spark, scratch_path(spark, "tbcollections"))
+    table.replace(domain_tables(spark, sf_dir)["tbcollections"])
+    return merge.truncate_stored(table)
 
 
 @query
