@@ -8,7 +8,8 @@ LIKE metacharacters, so a case-insensitive match is written ``lower(a) = lower(b
 from __future__ import annotations
 
 from fieldcast.bindings import duckdb_with
-from fieldcast.queries import AS_OF, MAX_BYTES
+from fieldcast.queries import AS_OF, MAX_BYTES, MAX_FILES
+from fieldcast.sinks.reports import GLOBAL_REPORTS, PROJECT_REPORTS
 
 
 def ratio(num: str, den: str, digits: int) -> str:
@@ -21,6 +22,10 @@ def texts(col: str) -> str:
     return f"string_agg(DISTINCT CAST({col} AS VARCHAR), ';' ORDER BY CAST({col} AS VARCHAR))"
 
 
+#: whether the next message closes a bundle that is limited in bytes and files
+_FULL = f"b.open + s.length_bytes > {MAX_BYTES} OR b.held + 1 > {MAX_FILES}"
+
+
 # -- shared pieces: name -> (tables and pieces it reads, SQL) ---------------------------------
 
 PIECES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -258,6 +263,17 @@ PIECES: dict[str, tuple[tuple[str, ...], str]] = {
            FROM x_bundles b JOIN x_seq s ON s.programid = b.programid AND s.deploymentnumber = b.deploymentnumber
              AND s.language = b.language AND s.n = b.n + 1""",
     ),
+    "x_small_bundles": (
+        ("x_seq",),
+        f"""SELECT programid, deploymentnumber, language, message_uuid, n, length_bytes AS open, 1 AS held, CAST(0 AS BIGINT) AS bundle_index
+           FROM x_seq WHERE n = 1
+           UNION ALL
+           SELECT s.programid, s.deploymentnumber, s.language, s.message_uuid, s.n,
+                  CASE WHEN {_FULL} THEN s.length_bytes ELSE b.open + s.length_bytes END, CASE WHEN {_FULL} THEN 1 ELSE b.held + 1 END,
+                  b.bundle_index + CASE WHEN {_FULL} THEN 1 ELSE 0 END
+           FROM x_small_bundles b JOIN x_seq s ON s.programid = b.programid AND s.deploymentnumber = b.deploymentnumber
+             AND s.language = b.language AND s.n = b.n + 1""",
+    ),
 }
 
 
@@ -765,6 +781,7 @@ ORACLE: dict[str, str] = {
     "uf_get_records": sql("FROM uf_messages", "uf_messages"),
     "uf_bundle": sql("SELECT programid, deploymentnumber, language, message_uuid, bundle_index FROM x_bundles", "x_bundles"),
     "uf_bundle_blocks": sql("SELECT programid, deploymentnumber, language, message_uuid, bundle_index FROM x_bundles", "x_bundles"),
+    "uf_bundle_max_files": sql("SELECT programid, deploymentnumber, language, message_uuid, bundle_index FROM x_small_bundles", "x_small_bundles"),
     "uf_bundle_assign": sql(
         "SELECT programid, deploymentnumber, language, bundle_index, 1 AS ids, count(*) AS files FROM x_bundles GROUP BY ALL", "x_bundles"),
     "uf_bundle_regroup": sql(
@@ -797,3 +814,25 @@ ORACLE["report_diff"] = sql(
        SELECT 'deployments_by_community' AS report, (SELECT count(*) FROM (FROM old_rows EXCEPT ALL FROM new_rows)) AS only_old,
            (SELECT count(*) FROM (FROM new_rows EXCEPT ALL FROM old_rows)) AS only_new
        UNION ALL SELECT 'production_by_package', 0, 0)""", "x_depl", "tbsdeployed", "recipients", "deployments")
+ORACLE["report_diff_stored"] = ORACLE["report_diff"]
+
+_BASE_REPORTS = {name: sql(f"FROM {name}", name) for name in ("deployments", "recipients", "recipients_map", "tbsdeployed")}
+
+
+def _run_rows() -> str:
+    """Rows and columns of all reports of a run, those by project for active projects."""
+    parts = []
+    for name in PROJECT_REPORTS:
+        body = _BASE_REPORTS.get(name) or ORACLE[name]
+        parts.append(
+            f"SELECT 'project' AS kind, '{name}' AS report, project, (SELECT count(*) FROM (DESCRIBE SELECT * FROM ({body}))) AS n_columns, count(*) AS n_rows"
+            f" FROM ({body}) WHERE project IN (SELECT r_name FROM region WHERE r_regionkey >= 1) GROUP BY project"
+        )
+    for name in GLOBAL_REPORTS:
+        parts.append(
+            f"SELECT 'global', '{name}', NULL, (SELECT count(*) FROM (DESCRIBE SELECT * FROM ({ORACLE[name]}))), count(*) FROM ({ORACLE[name]}) HAVING count(*) > 0"
+        )
+    return "SELECT kind, report, project, CAST(n_columns AS INT) AS n_columns, n_rows FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+ORACLE["report_run"] = _run_rows()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldcast.functions.ids import bundle_uuid, message_uuid
 from fieldcast.functions.text import checked_date, clock, first_key, merged, prefixed
-from fieldcast.operators.bundling import ROWS_PER_BLOCK, next_fit
+from fieldcast.operators.bundling import next_fit
 from fieldcast.operators.lookup import lookup_deployment_number, lookup_recipient_info
 from fieldcast.operators.merge import insert_ignore
 from fieldcast.tables import Tables, mart
@@ -204,12 +204,15 @@ def filter_uf_keep(
 
 
 def uf_bundle(
-    messages: DataFrame, max_bytes: int = MAX_BYTES, rows_per_block: int = ROWS_PER_BLOCK, **keep
+    messages: DataFrame, max_bytes: int = MAX_BYTES, rows_per_block: int | None = None, max_files: int | None = None, **keep
 ) -> DataFrame:
-    """Bundle number of every kept message: next-fit per program, deployment and language, in id order."""
+    """Bundle number of every kept message: next-fit per program, deployment and language, in id order.
+
+    A bundle is limited in bytes, and in files only if ``max_files`` is given.
+    """
     return next_fit(
         filter_uf_keep(messages, **keep), ["programid", "deploymentnumber", "language"], "message_uuid",
-        "length_bytes", max_bytes, rows_per_block,
+        "length_bytes", max_bytes, rows_per_block, max_files=max_files,
     )
 
 

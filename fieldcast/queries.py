@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from fieldcast.functions import pg, text
 from fieldcast.functions.ids import uuid5
 from fieldcast.operators import lookup, merge
 from fieldcast.operators.commits import CommittedTable
-from fieldcast.operators.compare import report_diff
+from fieldcast.operators.compare import report_diff, tree_diff
 from fieldcast.operators.keyed import KeyedTable
 from fieldcast.operators.names import ilike_join
 from fieldcast.plans import feedback, production, retired, serials
@@ -29,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 AS_OF = "1998-06-15"
-MAX_BYTES = 40_000
+MAX_BYTES, MAX_FILES = 40_000, 7
 PLACE = ["file", "line_no"]
 
 #: marts registered under their own name; the rest of the marts need normalised names
@@ -404,6 +405,36 @@ def sink_global_reports(spark, sf_dir):
     return files.read_csv(spark, f"{path}/deployment_dashboard", chosen["deployment_dashboard"].schema)
 
 
+@query
+def report_run(spark, sf_dir):
+    """All 18 project reports and 3 global ones of a run, read back from disk: rows of each, by project."""
+    t = domain_tables(spark, sf_dir)
+    path = scratch_path(spark, "report-run")
+    with_project = t.with_table("program_info", t["program_info"])
+    reports.write_report_run(spark, with_project, path, AS_OF)
+    parts = []
+    for kind, names in (("project", reports.PROJECT_REPORTS), ("global", reports.GLOBAL_REPORTS)):
+        for name in names:
+            rows = spark.read.option("header", True).csv(f"{path}/{kind}/{name}")
+            project = F.col("project_dir") if kind == "project" else F.lit(None).cast("string")
+            columns = len(rows.columns) - (kind == "project")
+            counted = rows.groupBy(project.alias("project")).agg(F.count("*").alias("n_rows"))
+            parts.append(counted.select(F.lit(kind).alias("kind"), F.lit(name).alias("report"), "project", F.lit(columns).alias("n_columns"), "n_rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def report_diff_stored(spark, sf_dir):
+    """Two stored report trees compared, whatever the order of their lines and the number of their files."""
+    t = domain_tables(spark, sf_dir)
+    without_tests = t.with_table("tbsdeployed", t["tbsdeployed"].where("NOT testing"))
+    path = scratch_path(spark, "report-trees")
+    for side, tables, files_ in (("old", t, 3), ("new", without_tests, 5)):
+        for name in ("deployments_by_community", "production_by_package"):
+            reports.write_csv(tables[name].repartition(files_), f"{path}/{side}/{name}")
+    return tree_diff(spark, f"{path}/old", f"{path}/new")
+
+
 @query
 def sink_properties(spark, sf_dir):
     path = scratch_path(spark, "properties")
@@ -809,6 +840,13 @@ def uf_bundle_blocks(spark, sf_dir):
     return feedback.uf_bundle(domain_tables(spark, sf_dir)["uf_messages"], MAX_BYTES, rows_per_block=100)
 
 
+@query
+def uf_bundle_max_files(spark, sf_dir):
+    """Bundles limited in bytes and in files, in small blocks."""
+    messages = domain_tables(spark, sf_dir)["uf_messages"]
+    return feedback.uf_bundle(messages, MAX_BYTES, rows_per_block=150, max_files=MAX_FILES)
+
+
 @query
 def uf_bundle_assign(spark, sf_dir):
     assigned = feedback.uf_bundle_assign(_bundled(spark, sf_dir))

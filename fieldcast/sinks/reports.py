@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldcast.functions.text import properties_map
+from fieldcast.plans.serials import tbnewsn_past_six_months
+from fieldcast.session import scratch_path
 from fieldcast.tables import Tables
 
 # Reports written per project and for all projects.
@@ -71,6 +73,23 @@ def project_report_set(t: Tables, **made: DataFrame) -> dict[str, DataFrame]:
     return {name: made[name] if name in made else t[name] for name in PROJECT_REPORTS}
 
 
+#: results that several reports are made from, each stored once in a run
+SHARED = ["deployment_info", "production_info", "usage_info"]
+
+
+def write_report_run(spark: SparkSession, t: Tables, path: str, as_of, **made: DataFrame) -> None:
+    """A whole run: the results that reports share are stored once, then all reports of the active projects are written below
+    ``<path>/project`` and those for all projects below ``<path>/global``."""
+    for name in SHARED:
+        if not t.stored(name):
+            stored = scratch_path(spark, f"shared-{name}")
+            t[name].write.parquet(stored)
+            t = t.with_table(name, spark.read.parquet(stored))
+    made = {"tbnewsn_past_six_months": tbnewsn_past_six_months(t, as_of), **made}
+    write_project_reports(project_report_set(t, **made), f"{path}/project", t["project_list"])
+    write_global_reports({name: made[name] if name in made else t[name] for name in GLOBAL_REPORTS}, f"{path}/global")
+
+
 def properties_text(props: str = "props", header: str | None = None):
     """Sorted ``k=v`` lines with CRLF ends, header comments first."""
     lines = F.transform(F.array_sort(F.map_entries(props)), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
