@@ -53,6 +53,27 @@ def test_column_lists(spark, logs, tmp_path):
     assert kv.project_columns(kv.read_kv_log(spark, [logs[0]]), names).columns == names
 
 
+def test_garbage_keys_stay_in_the_long_form(spark):
+    lines = spark.range(20_000).select(
+        F.lit(0).alias("file_no"), F.lit(0).alias("block"), F.col("id").alias("line"),
+        F.concat(F.lit("t,op,two:2,k"), "id", F.lit(":"), "id", F.lit(",one:1")).alias("value"),
+    )
+    parsed = kv.parse_kv(lines)
+    assert kv.discovered_names(parsed, most=2) == ["two", "one"]
+    wide = kv.project_columns(parsed, ["+"], most=2)
+    assert wide.columns == ["two", "one", "other"]
+    assert wide.where("two = '2' and one = '1' and size(other) = 1").count() == 20_000
+    rest = kv.other_pairs(parsed, ["timestamp", "operation", "two", "one"], ["line"])
+    assert rest.where("key = concat('k', line) and value = cast(line as string)").count() == 20_000 == rest.count()
+
+
+def test_a_list_of_too_many_columns_is_an_error(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(kv, "MOST_COLUMNS", 3)
+    (tmp_path / "names").write_text("a\nb\n# c\nd\ne\n")
+    with pytest.raises(ValueError):
+        kv.expand_columns(spark, [f"@{tmp_path / 'names'}"])
+
+
 def test_recipients_are_filled_where_the_key_is_absent(spark, tmp_path):
     (tmp_path / "r.kvp").write_text(
         "t0,op,project:proj1,community:some directory name,value:lookup\n"
