@@ -42,7 +42,9 @@ MANY = 255
 #: Occurrences from which k shingles are combined.
 CLASSES = ((2, 16), (3, MANY))
 #: Shingles a task gathers before it deals them out; rows it may number within 16 bits.
-BLOCK, BLOCK_ROWS = 2_000_000, 60_000
+BLOCK, BLOCK_ROWS = 500_000, 60_000
+#: Words whose hashes a task remembers; only a matter of memory.
+WORDS_AT_ONCE = 150_000
 #: Characters of text for each hash bucket.
 BUCKET_CHARS = 8_000_000
 #: Sets outside a component that are compared with all others they meet at once; more meet further pivots first.
@@ -70,7 +72,7 @@ class Shingles:
         found = (text or "").encode("utf-8", "surrogatepass").lower().split()
         if not found:
             return np.zeros(0, np.uint64)
-        if len(self.known) > 1_000_000:
+        if len(self.known) > WORDS_AT_ONCE:
             self.known.clear()
         hashes = np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))
         width = min(self.words, len(found))
