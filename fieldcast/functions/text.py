@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,13 +22,25 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(BLANKS))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def last_wins(pairs: Column) -> Column:
-    """Array of (key, value) structs -> map, where the last of equal keys stays."""
-    keys = F.transform(pairs, lambda p: p["key"])
-    kept = F.filter(
-        pairs, lambda p, i: F.array_position(F.slice(keys, i + F.lit(2), F.size(keys)), p["key"]) == F.lit(0)
-    )
-    return F.map_from_entries(kept)
+    """Array of (key, value) structs -> map, where the last of equal keys stays; pairs without a key are left out.
+
+    The array is worked out once for a row, and only rows that repeat a key compare their keys.
+    """
+
+    def unique(kept: Column, keys: Column) -> Column:
+        later = F.filter(
+            kept, lambda p, i: F.array_position(F.slice(keys, i + F.lit(2), F.size(keys)), p["key"]) == F.lit(0)
+        )
+        return F.map_from_entries(F.when(F.size(F.array_distinct(keys)) == F.size(keys), kept).otherwise(later))
+
+    named = F.filter(pairs, lambda p: p["key"].isNotNull())
+    return bound(named, lambda kept: bound(F.transform(kept, lambda p: p["key"]), lambda keys: unique(kept, keys)))
 
 
 def pair(key: Column, value: Column) -> Column:

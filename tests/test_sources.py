@@ -1,11 +1,13 @@
 """Sources over real files."""
 
 import struct
+import time
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from fieldcast.functions import text
 from fieldcast.operators import lookup
 from fieldcast.plans import feedback
 from fieldcast.sinks import reports
@@ -232,3 +234,14 @@ def test_recipients_maps_with_columns_in_another_order(spark, tmp_path):
     (tmp_path / "b.csv").write_text("recipientid,project,directory\nr3,P,D\n")
     found = files.read_recipients_map(spark, str(tmp_path)).collect()
     assert sorted((r["project"], r["directory"], r["recipientid"]) for r in found) == [("P", "D", "r3"), ("P", "E", "r2")]
+
+
+def test_last_wins_works_out_its_array_once(spark):
+    pairs = "transform(sequence(1, 3000), i -> named_struct('key', concat('k', i), 'value', string(i + id)))"
+    lines = spark.range(100).selectExpr("id", f"{pairs} AS pairs")
+    begin = time.time()
+    row = lines.select(text.last_wins(F.col("pairs")).alias("m")).agg(F.sum(F.size("m")).alias("n"), F.max(F.expr("m['k3000']")).alias("v")).first()
+    assert (row["n"], row["v"]) == (300_000, "3099")
+    assert time.time() - begin < 20  # the cube of a line's pairs took minutes
+    odd = spark.sql("SELECT array(struct('a' AS key, '1' AS value), struct(NULL, '2'), struct('a', '3')) AS pairs, 1 AS i UNION ALL SELECT NULL, 2")
+    assert [r[0] for r in odd.orderBy("i").select(text.last_wins(F.col("pairs"))).collect()] == [{"a": "3"}, None]
