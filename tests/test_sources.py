@@ -243,5 +243,6 @@ def test_last_wins_works_out_its_array_once(spark):
     row = lines.select(text.last_wins(F.col("pairs")).alias("m")).agg(F.sum(F.size("m")).alias("n"), F.max(F.expr("m['k3000']")).alias("v")).first()
     assert (row["n"], row["v"]) == (300_000, "3099")
     assert time.time() - begin < 20  # the cube of a line's pairs took minutes
-    odd = spark.sql("SELECT array(struct('a' AS key, '1' AS value), struct(NULL, '2'), struct('a', '3')) AS pairs, 1 AS i UNION ALL SELECT NULL, 2")
-    assert [r[0] for r in odd.orderBy("i").select(text.last_wins(F.col("pairs"))).collect()] == [{"a": "3"}, None]
+    rows = [(1, [("a", "1"), (None, "2"), ("a", "3"), ("b", "4")]), (2, None)]
+    odd = spark.createDataFrame(rows, "i int, pairs array<struct<key:string,value:string>>")
+    assert [r[0] for r in odd.orderBy("i").select(text.last_wins(F.col("pairs"))).collect()] == [{"a": "3", "b": "4"}, None]
