@@ -244,3 +244,14 @@ def test_a_replayed_file_rewrites_nothing(spark, tmp_path):
     old = LINE.format(ts="19990105T100000.000Z", c="c1", n=8)
     assert arrive("four", "b.kvp", line("c1", 7), old) == [("c1", 7), ("c1", 8), ("c2", 2), ("c3", 3)]
     assert commits() == second + 1
+
+
+def test_lots_merge_like_replace_in_one_shuffle(spark, rows):
+    schema = "day string, k int, v string, place int"
+    stored = spark.createDataFrame([("a", 1, "old", 0), ("a", 1, "old twin", 0), ("a", 2, "stays", 0), ("a", 2, "stays too", 0), (None, 3, "no day", 0), ("b", None, "no key", 0)], schema).drop("place")
+    batch = spark.createDataFrame([("a", 1, "second", 2), ("a", 1, "first", 1), ("b", 9, "new", 1), (None, 3, "x", 1), (None, 3, "x", 2), ("b", None, "y", 1)], schema)
+    for most in (1, 100):
+        merged = merge.merge_replace_lots(stored, batch, ["day", "k"], ["place"], "day", most)
+        assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+        assert rows(merged) == rows(merge.merge_replace(stored, batch, ["day", "k"], ["place"]))
+    assert rows(merge.merge_replace_lots(stored.limit(0), batch, ["day", "k"], ["place"], "day", 100)) == rows(merge.merge_replace(stored.limit(0), batch, ["day", "k"], ["place"]))
