@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldcast.llm.common import each_text, held_out
+from fieldcast.llm.common import each_text, held_out, stored
 from fieldcast.llm.textstats import figures
-from fieldcast.llm.training import labelled_sample, logistic
+from fieldcast.llm.training import labelled_sample, learnable, logistic
 from fieldcast.session import send_with_tasks
 
 send_with_tasks(__name__)
@@ -67,10 +67,10 @@ def _expand(raw: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray
 
 
 class Ranking:
-    """Feature scale, weights and the cut: a document's score is that of a contest against the cut."""
+    """Feature scale and weights: a document's score is that of a contest against the cut."""
 
-    def __init__(self, mean: np.ndarray, spread: np.ndarray, weights: np.ndarray, cut: float) -> None:
-        self.mean, self.spread, self.weights, self.cut = mean, spread, weights, cut
+    def __init__(self, mean: np.ndarray, spread: np.ndarray, weights: np.ndarray) -> None:
+        self.mean, self.spread, self.weights = mean, spread, weights
 
     def strength(self, raw: np.ndarray) -> np.ndarray:
         return _expand(raw, self.mean, self.spread) @ self.weights
@@ -80,12 +80,12 @@ def fit(raw: np.ndarray, label: np.ndarray, pairs: int = 60_000, penalty: float
     """Learn strengths from preference pairs (a document of label 1 over one of label 0).
 
     The logistic loss acts on differences of features, so no constant is learnt.  Pairs are drawn by ``seed``,
-    ``pairs`` of them at most.  The cut is the quantile of the strengths below which the labels' share of 0 lies.
+    ``pairs`` of them at most.  The cut is set afterwards (:func:`cut_of`).
     Without documents of both labels all strengths are 0.
     """
     good, bad = raw[label == 1], raw[label == 0]
     if not len(good) or not len(bad):
-        return Ranking(np.zeros(raw.shape[1]), np.ones(raw.shape[1]), np.zeros(3 * raw.shape[1]), 0.0)
+        return Ranking(np.zeros(raw.shape[1]), np.ones(raw.shape[1]), np.zeros(3 * raw.shape[1]))
     middle = (good.mean(0) + bad.mean(0)) / 2
     spread = np.sqrt((good.var(0) + bad.var(0)) / 2) + 1e-3
     draw = np.random.default_rng(seed)
@@ -94,7 +94,7 @@ def fit(raw: np.ndarray, label: np.ndarray, pairs: int = 60_000, penalty: float
     difference = x_good[draw.integers(len(good), size=n)] - x_bad[draw.integers(len(bad), size=n)]
     # each pair stands for both orders: a preference and its mirror image have the same loss
     weights = logistic(difference, np.ones(n), np.ones(n), penalty)
-    return Ranking(middle, spread, weights, 0.0)
+    return Ranking(middle, spread, weights)
 
 
 def score(
@@ -108,7 +108,8 @@ def score(
 ) -> DataFrame:
     """``docs`` without the text, with ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 if ``score`` >= ``threshold``).
 
-    The ranking is learnt from about ``per_class`` labelled documents of each class at most, never from held-out ones.
+    The ranking is learnt from about ``per_class`` labelled documents of each class at most, never from held-out ones; the cut
+    is that of all of them, however many.
     ``score`` is ``threshold`` where a document's strength lies at the cut.  A null text scores like an empty
     one; a null ``doc_id`` is not held out and never learnt from; repeated rows score alike.  Without labels of both
     classes every score is ``threshold``.  Columns named like a result are replaced; an empty table gives no rows.
@@ -119,18 +120,18 @@ def score(
     rows = shaped.select("label", "shape").toPandas()
     raw = np.array(rows["shape"].tolist()).reshape(-1, N_SHAPE)
     ranking = fit(raw, rows["label"].to_numpy())
-    ranking.cut = cut_of(ranking, raw, rows["label"].to_numpy(), labels, label, doc_id)
     offset = math.log(threshold / (1 - threshold))
 
     def make():
-        def job(texts):
-            strength = ranking.strength(np.array([features(t) for t in texts]).reshape(-1, N_SHAPE))
-            return [1.0 / (1.0 + np.exp(-np.clip(strength - ranking.cut + offset, -700, 700)))]
-
-        return job
+        return lambda texts: [ranking.strength(np.array([features(t) for t in texts]).reshape(-1, N_SHAPE))]
 
+    # strengths are worked out once and kept without the texts: the cut needs them all
     kept = [c for c in docs.columns if c != text and c.lower() not in ("held_out", "score", "predicted")]
-    scored = each_text(docs, F.col(text), make, [T.StructField("score", T.DoubleType(), False)])
+    strong = each_text(docs.select(*{doc_id: None, **dict.fromkeys(kept)}, text), F.col(text), make, [T.StructField("lm strength", T.DoubleType(), False)])
+    strong = stored(strong.drop(text), "quality-strengths")
+    cut = cut_of(strong.select(F.col(doc_id).alias("id"), F.col("lm strength").alias("strength")), labels, label, doc_id)
+    contest = F.greatest(F.least(F.col("lm strength") - F.lit(cut) + F.lit(offset), F.lit(700.0)), F.lit(-700.0))
+    scored = strong.withColumn("score", 1.0 / (1.0 + F.exp(-contest)))
     # a score within rounding of the threshold counts as reaching it
     exact = F.when(F.abs(F.col("score") - threshold) < 1e-12, F.lit(threshold)).otherwise(F.col("score"))
     scored = scored.withColumn("score", exact)
@@ -139,17 +140,36 @@ def score(
     )
 
 
-def cut_of(ranking: Ranking, raw: np.ndarray, label: np.ndarray, labels: DataFrame, column: str, doc_id: str) -> float:
-    """The strength at the quantile that equals the share of label 0 among all labels that may be learnt from."""
-    counts = labels.where(F.col(column).isin(0, 1) & ~held_out(F.col(doc_id))).groupBy(column).count().collect()
-    share = {r[column]: r["count"] for r in counts}
-    if not share.get(0) or not share.get(1) or not (label == 0).any() or not (label == 1).any():
+#: bins of a round, and values that are sorted on the driver, when one value of an order is looked for
+BINS, FEW = 1024, 1000
+
+
+def value_at(values: DataFrame, column: str, place: int) -> float:
+    """The value at a place (from 0) of all values in order: counted in bins, round by round, within the bin that holds it."""
+    ends = values.agg(F.min(column), F.max(column), F.count("*")).first()
+    low, high, n = ends
+    while low < high and n > FEW:
+        bin_of = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(high - low) * BINS), F.lit(BINS - 1)).alias("bin")
+        bins = (
+            values.where(F.col(column).between(low, high)).groupBy(bin_of)
+            .agg(F.count("*").alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).orderBy("bin").collect()
+        )
+        for found in bins:
+            low, high, n = found["low"], found["high"], found["n"]
+            if place < n:
+                break
+            place -= n
+    if low == high:
+        return float(low)
+    return float(sorted(r[0] for r in values.where(F.col(column).between(low, high)).select(column).collect())[place])
+
+
+def cut_of(strengths: DataFrame, labels: DataFrame, column: str, doc_id: str) -> float:
+    """The strength below which the share of label 0 lies, over all documents whose label may be learnt from."""
+    known = learnable(labels, column, doc_id)
+    values = stored(strengths.join(known, "id").select("label", "strength"), "quality-labelled")
+    counts = {r["label"]: r["n"] for r in values.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    bad, good = counts.get(0, 0), counts.get(1, 0)
+    if not bad or not good:
         return 0.0
-    strength = ranking.strength(raw)
-    # the sample has its own share of each class; weigh its rows as the labels have them
-    weight = np.where(label == 0, share[0] / (label == 0).sum(), share[1] / (label == 1).sum())
-    order = np.argsort(strength, kind="stable")
-    below = np.cumsum(weight[order]) / weight.sum()
-    at = int(np.searchsorted(below, share[0] / (share[0] + share[1])))
-    nearest = strength[order][[min(at, len(order) - 1), min(at + 1, len(order) - 1)]]
-    return float(nearest.mean())
+    return (value_at(values, "strength", bad - 1) + value_at(values, "strength", bad)) / 2

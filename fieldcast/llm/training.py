@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 from fieldcast.llm.common import held_out, stored
 
 
+def learnable(labels: DataFrame, label: str, doc_id: str = "doc_id") -> DataFrame:
+    """``id`` and ``label`` (0 or 1, the least one of an id) of all documents that may be learnt from."""
+    known = labels.select(F.col(doc_id).alias("id"), F.col(label).alias("label")).where(
+        F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id"))
+    )
+    return known.groupBy("id").agg(F.min("label").cast("int").alias("label"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, doc_id: str = "doc_id") -> DataFrame:
     """Training documents with their label (0 or 1): about ``per_class`` rows of each class at most, for any input.
 
@@ -16,11 +24,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     one.  The choice goes by a hash of the id, so it is the same in every run.  Only ids and labels are sent
     to all executors, and they are as many as ``per_class`` says, so the texts are not shuffled.
     """
-    known = labels.select(F.col(doc_id).alias("id"), F.col(label).alias("label")).where(
-        F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id"))
-    )
-    known = known.groupBy("id").agg(F.min("label").cast("int").alias("label"))
-    known = stored(known, "training-labels")
+    known = stored(learnable(labels, label, doc_id), "training-labels")
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     place = F.pmod(F.xxhash64("id", F.lit("training")), F.lit(1 << 30)) / float(1 << 30)
     chosen = F.lit(False)

@@ -95,3 +95,15 @@ def test_composition_is_one_after_the_other():
             b, out, g = second[b, middle]
             c, got, h = both[c, symbol]
             assert (got, h) == (out, f * g)
+
+
+def test_the_cut_is_that_of_all_labelled_documents(spark):
+    values = [((k * 7919) % 5003) ** 3 / 1e9 for k in range(5003)]
+    frame = spark.createDataFrame([(float(v),) for v in values], "strength double")
+    assert [ranking.value_at(frame, "strength", k) for k in (0, 1234, 5002)] == [sorted(values)[k] for k in (0, 1234, 5002)]
+    assert ranking.value_at(spark.createDataFrame([(2.0,)] * 1500, "strength double"), "strength", 700) == 2.0
+    strengths = spark.createDataFrame([(k, float(v)) for k, v in enumerate(values)], "id long, strength double")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(5003)], "doc_id long, quality int")
+    taught = [(k, values[k]) for k in range(5003) if zlib.crc32(str(k).encode()) % 5]
+    bad, order = sum(k % 3 == 0 for k, _ in taught), sorted(v for _, v in taught)
+    assert ranking.cut_of(strengths, labels, "quality", "doc_id") == (order[bad - 1] + order[bad]) / 2
