@@ -140,36 +140,48 @@ def score(
     )
 
 
-#: bins of a round, and values that are sorted on the driver, when one value of an order is looked for
+#: bins of a round, and values that are sorted on the driver, when a quantile is looked for
 BINS, FEW = 1024, 1000
 
 
-def value_at(values: DataFrame, column: str, place: int) -> float:
-    """The value at a place (from 0) of all values in order: counted in bins, round by round, within the bin that holds it."""
-    ends = values.agg(F.min(column), F.max(column), F.count("*")).first()
-    low, high, n = ends
-    while low < high and n > FEW:
-        bin_of = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(high - low) * BINS), F.lit(BINS - 1)).alias("bin")
-        bins = (
-            values.where(F.col(column).between(low, high)).groupBy(bin_of)
-            .agg(F.count("*").alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).orderBy("bin").collect()
-        )
-        for found in bins:
-            low, high, n = found["low"], found["high"], found["n"]
-            if place < n:
-                break
-            place -= n
-    if low == high:
-        return float(low)
-    return float(sorted(r[0] for r in values.where(F.col(column).between(low, high)).select(column).collect())[place])
+def quantile(values: DataFrame, weights: dict[int, float], share: float) -> float:
+    """Mean of the first ``strength`` at which the weight of all up to it reaches ``share`` of the whole, and of the next one.
+
+    ``values`` has ``strength`` and ``label``, and a row weighs what its label does.  Rows are counted in bins, round by round, within the
+    bin that holds the place, until few are left.
+    """
+    weigh = lambda row: weights[0] * row["n0"] + weights[1] * (row["n"] - row["n0"])
+    sums = [F.count("*").alias("n"), F.count_if(F.col("label") == 0).alias("n0"), F.min("strength").alias("low"), F.max("strength").alias("high")]
+    found = values.agg(*sums).first()
+    whole, base, above = weigh(found), 0.0, None
+    while found["low"] < found["high"] and found["n"] > FEW:
+        low, high = found["low"], found["high"]
+        bin_of = F.least(F.floor((F.col("strength") - F.lit(low)) / F.lit(high - low) * BINS), F.lit(BINS - 1)).alias("bin")
+        bins = values.where(F.col("strength").between(low, high)).groupBy(bin_of).agg(*sums).orderBy("bin").collect()
+        at = 0
+        while at < len(bins) - 1 and (base + weigh(bins[at])) / whole < share:
+            base += weigh(bins[at])
+            at += 1
+        found, above = bins[at], bins[at + 1]["low"] if at + 1 < len(bins) else above
+    if found["low"] == found["high"]:  # equal values, however many
+        last = (base + weigh(found) - min(weights.values())) / whole < share
+        return (found["low"] + (above if last and above is not None else found["low"])) / 2
+    few = values.where(F.col("strength").between(found["low"], found["high"])).select("strength", "label").collect()
+    strength, weight = np.array([r[0] for r in few]), np.array([weights[r[1]] for r in few])
+    order = np.argsort(strength, kind="stable")
+    below = (base + np.cumsum(weight[order])) / (whole if base or above is not None else weight.sum())
+    ordered = [*strength[order], *([] if above is None else [above])]
+    at = int(np.searchsorted(below, share))
+    return float(np.mean([ordered[min(at, len(ordered) - 1)], ordered[min(at + 1, len(ordered) - 1)]]))
 
 
 def cut_of(strengths: DataFrame, labels: DataFrame, column: str, doc_id: str) -> float:
-    """The strength below which the share of label 0 lies, over all documents whose label may be learnt from."""
-    known = learnable(labels, column, doc_id)
-    values = stored(strengths.join(known, "id").select("label", "strength"), "quality-labelled")
-    counts = {r["label"]: r["n"] for r in values.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    bad, good = counts.get(0, 0), counts.get(1, 0)
-    if not bad or not good:
+    """The strength at the quantile that equals the share of label 0 among all labels that may be learnt from, over all their documents."""
+    counts = labels.where(F.col(column).isin(0, 1) & ~held_out(F.col(doc_id))).groupBy(column).count().collect()
+    share = {r[column]: r["count"] for r in counts}
+    values = stored(strengths.join(learnable(labels, column, doc_id), "id").select("label", "strength"), "quality-labelled")
+    rows = {r["label"]: r["count"] for r in values.groupBy("label").count().collect()}
+    if not share.get(0) or not share.get(1) or not rows.get(0) or not rows.get(1):
         return 0.0
-    return (value_at(values, "strength", bad - 1) + value_at(values, "strength", bad)) / 2
+    # documents may come more or less often than their labels; weigh them as the labels have them
+    return quantile(values, {k: share[k] / rows[k] for k in (0, 1)}, share[0] / (share[0] + share[1]))

@@ -99,9 +99,10 @@ def test_composition_is_one_after_the_other():
 
 def test_the_cut_is_that_of_all_labelled_documents(spark):
     values = [((k * 7919) % 5003) ** 3 / 1e9 for k in range(5003)]
-    frame = spark.createDataFrame([(float(v),) for v in values], "strength double")
-    assert [ranking.value_at(frame, "strength", k) for k in (0, 1234, 5002)] == [sorted(values)[k] for k in (0, 1234, 5002)]
-    assert ranking.value_at(spark.createDataFrame([(2.0,)] * 1500, "strength double"), "strength", 700) == 2.0
+    rows = [(float(v), k % 2) for k, v in enumerate(values)]
+    assert ranking.quantile(spark.createDataFrame(rows, "strength double, label int"), {0: 1.0, 1: 1.0}, 1234 / 5003) == sum(sorted(values)[1233:1235]) / 2
+    equal = spark.createDataFrame([(2.0, k % 2) for k in range(1500)], "strength double, label int")
+    assert ranking.quantile(equal, {0: 1.0, 1: 1.0}, 0.5) == 2.0
     strengths = spark.createDataFrame([(k, float(v)) for k, v in enumerate(values)], "id long, strength double")
     labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(5003)], "doc_id long, quality int")
     taught = [(k, values[k]) for k in range(5003) if zlib.crc32(str(k).encode()) % 5]
