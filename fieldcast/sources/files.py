@@ -6,6 +6,7 @@ import io
 import zipfile
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,8 @@ send_with_tasks(__name__)
 # Artifacts of the device loader inside a collection's zip.
 ARTIFACTS = ("tbsdeployed.csv", "tbscollected.csv", "stats_collected.properties")
 ZIP_NAME = r"/tbcd[^/]*\.zip$"
+#: lines that are handed back from Python at once
+LINES_PER_FRAME = 10_000
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -157,21 +160,26 @@ def walk_counts(files: DataFrame, suffix: str) -> DataFrame:
     )
 
 
+def _zip_lines(path: str, content: bytes) -> Iterator[tuple]:
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for info in archive.infolist():
+                member = next((a for a in ARTIFACTS if info.filename.endswith(a)), None)
+                if member is None:
+                    continue
+                lines = archive.read(info).decode("utf-8", errors="replace").splitlines()
+                yield from ((path, member, number, line) for number, line in enumerate(lines))
+    except (zipfile.BadZipFile, zlib.error, EOFError) as problem:
+        yield path, None, -1, str(problem)
+
+
 def _zip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for info in archive.infolist():
-                        member = next((a for a in ARTIFACTS if info.filename.endswith(a)), None)
-                        if member is None:
-                            continue
-                        lines = archive.read(info).decode("utf-8", errors="replace").splitlines()
-                        yield pd.DataFrame(
-                            {"path": path, "member": member, "line_no": range(len(lines)), "line": lines}
-                        )
-            except (zipfile.BadZipFile, zlib.error, EOFError) as problem:
-                yield pd.DataFrame({"path": [path], "member": [None], "line_no": [-1], "line": [str(problem)]})
+    # many lines to a frame: one for each member costs more than reading it; and a bounded number, whatever the zips hold
+    rows = chain.from_iterable(
+        _zip_lines(path, content) for batch in batches for path, content in zip(batch["path"], batch["content"])
+    )
+    while lot := list(islice(rows, LINES_PER_FRAME)):
+        yield pd.DataFrame(lot, columns=["path", "member", "line_no", "line"])
 
 
 def zip_artifacts(zips: DataFrame, loose: DataFrame | None = None) -> DataFrame:

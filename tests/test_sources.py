@@ -1,9 +1,11 @@
 """Sources over real files."""
 
+import io
 import struct
 import time
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,6 +177,22 @@ def test_zip_artifacts_prefer_loose_files(spark, tmp_path, rows):
         ("x", "tbsdeployed.csv", 0, "h"), ("x", "tbsdeployed.csv", 1, "1"), ("y", "tbsdeployed.csv", 0, "loose")]
 
 
+def test_zip_lines_come_back_many_at_a_time(monkeypatch):
+    def archive(lines):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as whole:
+            whole.writestr("in/tbsdeployed.csv", lines)
+        return out.getvalue()
+
+    batches = [pd.DataFrame({"path": ["a", "bad", "c"], "content": [archive("h\n1\n"), b"no zip", archive("h\n")]}), pd.DataFrame({"path": ["d"], "content": [archive("")]})]
+    frames = list(files._zip_members(iter(batches)))
+    assert len(frames) == 1
+    assert [tuple(r)[:3] for r in frames[0].itertuples(index=False)] == [
+        ("a", "tbsdeployed.csv", 0), ("a", "tbsdeployed.csv", 1), ("bad", None, -1), ("c", "tbsdeployed.csv", 0)]
+    monkeypatch.setattr(files, "LINES_PER_FRAME", 3)
+    assert [len(frame) for frame in files._zip_members(iter(batches))] == [3, 1]
+
+
 def test_daily_directories_skip_and_limit(spark):
     paths = [(f"p/2021/0{m}/0{d}/2021y0{m}m0{d}d01h02m03s/tbcd{n}.zip",) for m in (1, 2) for d in (1, 2) for n in (1, 2)]
     frame = spark.createDataFrame([*paths, ("p/2021/03/01/2021y03m01d01h02m03s/x.log",)], "path string")
