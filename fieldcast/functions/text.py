@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -80,10 +81,14 @@ def prefixed(data: Column, prefix: str) -> Column:
 
 
 def merged(*maps: Column) -> Column:
-    """Maps put together; on equal keys the later map wins."""
+    """Maps put together; on equal keys the later map wins.  Each map is worked out once for a row, not once for a key."""
+
+    def over(earlier: Column, later: Column) -> Column:
+        return F.map_concat(F.map_filter(earlier, lambda k, _: ~F.map_contains_key(later, k)), later)
+
     out = maps[0]
     for later in maps[1:]:
-        out = F.map_concat(F.map_filter(out, lambda k, _: ~F.map_contains_key(later, k)), later)
+        out = bound(later, partial(over, out))
     return out
 
 

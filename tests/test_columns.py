@@ -98,3 +98,10 @@ def test_message_uuid_over_sorted_values(spark):
     assert one(spark, message_uuid(md, F.lit("c1"))) == expected
     empty = F.map_filter(md, lambda k, v: F.lit(False))
     assert len(one(spark, message_uuid(empty, F.lit("c1")))) == 36
+
+
+def test_merged_works_a_later_map_out_once(spark):
+    frame = spark.sql("SELECT map('a', '1', 'b', '2') AS x, map('b', '3', 'c', '4') AS y, map('a', '5') AS z")
+    whole = frame.select(text.merged(F.col("x"), text.prefixed(F.col("y"), ""), F.col("z")).alias("m"))
+    assert whole.first()["m"] == {"a": "5", "b": "3", "c": "4"}
+    assert whole._jdf.queryExecution().analyzed().toString().count("transform_keys") == 1
