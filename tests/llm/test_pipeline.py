@@ -46,7 +46,7 @@ def test_stages(spark):
 def test_registered():
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.ORACLE) < set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.ORACLE) < set(queries.QUERIES)
 
 
 def test_pipeline_of_nothing(spark):
