@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldcast.functions.pg import to_bigint
+from fieldcast.functions.pg import same, to_bigint
 from fieldcast.tables import Tables, mart
 
 # Thresholds of the play classes and weights of partial plays.
@@ -109,14 +109,14 @@ def allsources(t: Tables) -> DataFrame:
     complete = F.lit(True)
     for key in KEYS:
         complete = complete & F.col(key).isNotNull()
-    kind = "struct<" + ",".join(f"{name}:bigint" for name in COUNTERS) + ">"
     sources = ("l", "s1", "s2", "s3")
+    # joins with villages and messages follow, so a key without either makes no row
+    wanted = F.col("village").isNotNull() & F.col("contentid").isNotNull()
 
-    def tagged(rows: DataFrame, counters: dict[str, Column]) -> DataFrame:
-        """Keys and one struct for each source, null but for the source a row is of."""
-        none = F.lit(None).cast(kind)
-        sides = [F.when(complete & counters[s], F.col("counters")).otherwise(none).alias(s) if s in counters else none.alias(s) for s in sources]
-        return rows.select(*KEYS, *sides)
+    def tagged(rows: DataFrame, source: Column, names: dict[str, str]) -> DataFrame:
+        """Keys and the counters with the number of the source that a row counts for, null if it counts for none."""
+        counters = F.struct(source.alias("source"), *[F.col(column).cast("bigint").alias(name) for name, column in names.items()])
+        return rows.where(wanted).select(*KEYS, F.when(complete & source.isNotNull(), counters).alias("counters"))
 
     counts = _counts()
     events = (
@@ -126,20 +126,23 @@ def allsources(t: Tables) -> DataFrame:
         .agg(F.count_if(counts).alias("plays"), *_played(counts))
         .withColumnRenamed("timeplayed", "seconds")
     )
-    events = events.withColumn("counters", F.struct(*[F.col(name).cast("bigint").alias(name) for name in COUNTERS]))
-    synced = t["syncaggregation"].withColumn(
-        "counters", F.struct(*[F.col(column).cast("bigint").alias(name) for name, column in COUNTERS.items()])
+    number = F.when(F.col("datasource").isin(1, 2, 3), F.col("datasource").cast("int"))
+    rows = tagged(events, F.when(F.col("plays") > 0, 0), {name: name for name in COUNTERS}).unionByName(
+        tagged(t["syncaggregation"], number, COUNTERS)
     )
-    rows = tagged(events, {"l": F.col("plays") > 0}).unionByName(
-        tagged(synced, {f"s{n}": F.col("datasource") == n for n in (1, 2, 3)})
-    )
-    wide = rows.groupBy(*KEYS).agg(*[F.collect_list(s).alias(s) for s in sources])
-    for s in sources:
-        wide = wide.withColumn(s, F.explode_outer(s))
+    # one shuffle by message serves the sources and the messages' metadata; rows are narrow there, lists are made after it.
+    # sorting by a hash first compares numbers, not keys that begin alike
+    wide = rows.repartition("contentid").groupBy(F.xxhash64(*KEYS).alias("__key"), *KEYS).agg(F.collect_list("counters").alias("found"))
+    for n, s in enumerate(sources):
+        wide = wide.withColumn(s, F.explode_outer(F.expr(f"filter(found, c -> c.source = {n})")))
     wide = wide.select(*KEYS, *[F.col(f"{s}.{name}").alias(f"{s}_{name}") for s in sources for name in COUNTERS])
     villages = t["communities"].select("project", F.col("communityname").alias("village"))
-    lengths = t["contentmetadata2"].select("project", "contentid", "duration_sec")
-    wide = wide.join(villages, "village").join(lengths, ["project", "contentid"])
+    lengths = t["contentmetadata2"].select(F.col("project").alias("__project"), F.col("contentid").alias("__content"), "duration_sec")
+    wide = (
+        wide.join(villages, "village")
+        .join(lengths.repartition("__content"), (F.col("contentid") == F.col("__content")) & same("project", "__project"))
+        .drop("__content", "__project")
+    )
 
     def all_of(name: str, prefixes: tuple[str, ...]) -> list[Column]:
         return [F.col(f"{p}_{name}") for p in prefixes]
