@@ -72,7 +72,8 @@ def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     Every fingerprint is kept once under each of the m chain starts (the values of segments i and i + 1)
     and asks at its own key and at those with one bit of segment i + 1 turned: for 4 bits, 5 rows kept
     and 70 asked.  A key of 25 or 26 bits is chosen by several fingerprints only if they are alike.  Chain
-    budgets and the Hamming check are conditions of the join, so that it puts out links only.
+    budgets and the Hamming check are conditions of the join, so that it puts out links only.  Spark takes
+    an exploded table to be as small as what it was made from, so the join is a sorted one at every size.
     """
     ring = _segments(max_bits)
     m = len(ring)
@@ -109,7 +110,7 @@ def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
                 chain = chain & (F.bit_count(differing.bitwiseAND(F.lit(_signed(mask)))) <= size * max_bits // m)
         test = (start != i) | chain
         within = test if within is None else within & test
-    found = kept.join(asked, "key").where(
+    found = kept.hint("merge").join(asked.hint("merge"), "key").where(
         (F.col("src") < F.col("dst")) & (F.bit_count(differing) <= max_bits) & within
     )
     return found.select("src", "dst").distinct()

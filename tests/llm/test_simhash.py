@@ -71,6 +71,14 @@ def test_links_are_exact(spark):
     assert {(r.src, r.dst) for r in got.collect()} == expected
 
 
+def test_exploded_keys_are_never_broadcast(spark):
+    # Spark takes them to be as small as the fingerprints, and the driver would hold 70 rows for each
+    frame = simhash.links(spark.createDataFrame([(v,) for v in (0, 1, 3, 1 << 40, -1)], "fp long"), 4)
+    assert {(r.src, r.dst) for r in frame.collect()} == {(0, 1), (0, 3), (1, 3), (0, 1 << 40), (1, 1 << 40), (3, 1 << 40)}
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_components_of_chain_star_and_loops(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (3, 2), (200, 150), (150, 170)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "src long, dst long")).collect()}
