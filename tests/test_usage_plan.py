@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fieldcast.plans  # noqa: F401
+from fieldcast.functions.text import as_one_text, from_one_text
 from fieldcast.tables import Tables
 
 
@@ -80,3 +81,27 @@ def test_messages_are_summed_where_the_plays_are(spark, tables):
 def test_plays_are_shuffled_by_recipient_and_by_content(spark, tables):
     """By recipient, by content and once for each of the three joins with a dimension that is not broadcast."""
     assert _shuffles(spark, tables["usage_info"]) == 5
+
+
+def test_values_come_back_from_one_text(spark):
+    odd = ["", " ", "a", "\x1f", "\x1e", "\x1e0", "\x1e1", "\x1e2", "\x1e\x1f", "\x1f\x1f2", "é\x1e", "[null]", None]
+    rows = [(a, b, None if a is None else len(a)) for a in odd for b in odd]
+    frame = spark.createDataFrame(rows, "a string, b string, n int").withColumn("whole", as_one_text(["a", "b", "n"]))
+    got = frame.select("a", "b", "n", from_one_text(F.col("whole")).alias("parts")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.parts == [r.a, r.b, None if r.n is None else str(r.n)]
+
+
+def test_what_plays_only_carry_along_travels_as_one_text(spark, tables):
+    plan = tables["usage_info"]._jdf.queryExecution().optimizedPlan()
+
+    def dealt(node):
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        here = [set(names)] if node.nodeName() == "RepartitionByExpression" and "talkingbookid" in names else []
+        return here + [x for i in range(node.children().size()) for x in dealt(node.children().apply(i))]
+
+    by_recipient = [names for names in dealt(plan) if "__asked" in names]
+    by_content = [names for names in dealt(plan) if "__asked" not in names]
+    assert len(by_recipient) == len(by_content) == 1
+    assert "__carried" in by_content[0] and not by_content[0] & {"communityname", "agent", "deployment_uuid", "played_seconds"}
